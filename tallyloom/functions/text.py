@@ -74,9 +74,10 @@ def ngrams(words: Column, lo: int = 1, hi: int = 1) -> Column:
         return words
 
     def runs(n: int) -> Column:
-        starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(
+        starts = F.when(F.size(words) >= n, F.sequence(F.lit(0), F.size(words) - n)).otherwise(
             F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))
+        # Single elements are read in constant time; slice() would copy the whole array for every run.
+        return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(words, i + k) for k in range(n)]))
 
     return F.flatten(F.array(*[words if n == 1 else runs(n) for n in range(lo, hi + 1)]))
 

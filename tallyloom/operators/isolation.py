@@ -139,7 +139,7 @@ def isolation_scores(fact: DataFrame, by: str = "trade_date", keys=("buyer_broke
     numbers = [F.col(c).cast("double").alias(c) for c in features]
     samples = (_sampled(rows.select(by, *numbers, "_n", "_id", "_draw"), by, trees, sample)
                .withColumn("_chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
-               .select(by, "_chunk", "_id", "_tree", *features))
+               .select(F.col(by).alias("_sample_of"), F.col("_chunk").alias("_sample_chunk"), "_id", "_tree", *features))
     wanted = rows.select(by, "_chunk", "_n", *fact.drop(by).columns)
     kept = [f for f in fact.schema.fields]
     schema = T.StructType([*kept, T.StructField("score", T.DoubleType())])
@@ -153,7 +153,7 @@ def isolation_scores(fact: DataFrame, by: str = "trade_date", keys=("buyer_broke
         rows_in = out[features].astype(float).to_numpy()
         return out.assign(score=path_scores(rows_in, forest, int(min(sample, part["_n"].iloc[0]))))
 
-    scored = (wanted.groupBy(by, "_chunk").cogroup(samples.groupBy(by, "_chunk"))
+    scored = (wanted.groupBy(by, "_chunk").cogroup(samples.groupBy("_sample_of", "_sample_chunk"))
               .applyInPandas(score, schema).withColumn("score", F.round("score", SCORE_DIGITS)))
     # Read twice below (percentile and flags): keep the scores instead of growing the forests again.
     return flag_outliers(cut_lineage(scored), by, contamination)
