@@ -60,6 +60,17 @@ def concat_frames(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def unnest(df: DataFrame, keys, array: Column, name: str, pos: str | None = None) -> DataFrame:
+    """One row per non-null element: (*keys, [pos,] name).
+
+    The outer generator keeps the optimiser from adding a ``size(array) > 0`` filter below, which would
+    compute a costly array a second time.
+    """
+    rows = (df.select(*keys, F.posexplode_outer(array).alias(pos, name)) if pos
+            else df.select(*keys, F.explode_outer(array).alias(name)))
+    return rows.filter(F.col(name).isNotNull())
+
+
 def head(df: DataFrame, order, n: int = 5) -> DataFrame:
     """First ``n`` rows under ``order``."""
     return df.orderBy(*order).limit(n)

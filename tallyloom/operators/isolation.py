@@ -115,7 +115,7 @@ def _sampled(rows: DataFrame, by: str, trees: int, sample: int) -> DataFrame:
     some = F.transform(F.slice(ranked, F.lit(1), F.col("_copies")), lambda s: s["t"])
     chosen = (F.when(F.col("_copies") == 1, F.array(F.pmod(F.xxhash64("_id", F.lit(-1)), F.lit(trees)).cast("int")))
               .when(F.col("_copies") == trees, every).otherwise(some))
-    assigned = drawn.withColumn("_tree", F.explode(chosen)).withColumn("_order", F.xxhash64("_id", "_tree"))
+    assigned = drawn.withColumn("_tree", F.explode_outer(chosen)).withColumn("_order", F.xxhash64("_id", "_tree"))
     rank = F.row_number().over(Window.partitionBy(by, "_tree").orderBy("_order", "_id"))
     return assigned.withColumn("_rank", rank).filter(F.col("_rank") <= sample)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import html as H
 from tallyloom.functions.urls import normalise_url, portal_name, url_host
+from tallyloom.operators.frames import unnest
 from tallyloom.operators.keyed import dedupe
 from tallyloom.operators.skew import ROWS_PER_TASK, hot_keys, spread_join
 
@@ -51,7 +52,7 @@ def page_links(pages: DataFrame, patterns=None, limit: int | None = None) -> Dat
     links = H.page_hrefs(F.col("html"), patterns)
     if limit is not None:
         links = F.slice(links, 1, limit)
-    return pages.select("page_id", F.posexplode(links).alias("pos", "link"))
+    return unnest(pages, ["page_id"], links, "link", "pos")
 
 
 def article_rows(pages: DataFrame, label: str, rule: str = "portal", portal: bool = False) -> DataFrame:
@@ -67,7 +68,7 @@ def article_rows(pages: DataFrame, label: str, rule: str = "portal", portal: boo
 
 def claim_listing(pages: DataFrame) -> DataFrame:
     """Fact-check entries of listing pages: (page_id, pos, title, link), those with a heading and a link."""
-    entries = pages.select("page_id", F.posexplode(H.claim_blocks(F.col("html"))).alias("pos", "entry"))
+    entries = unnest(pages, ["page_id"], H.claim_blocks(F.col("html")), "entry", "pos")
     return entries.select("page_id", "pos", "entry.title", "entry.link").filter(
         F.col("title").isNotNull() & F.col("link").isNotNull())
 

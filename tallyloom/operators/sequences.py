@@ -6,17 +6,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import sequence_words
+from tallyloom.operators.frames import unnest
 from tallyloom.operators.skew import ROWS_PER_TASK, global_rank, hot_keys, spread_join
 
 
 def text_lines(df: DataFrame, keys, text: str = "text") -> DataFrame:
     """One row per line of text: (*keys, line_no, line)."""
-    return df.select(*keys, F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
+    return unnest(df, keys, F.split(text, "\n"), "line", "line_no")
 
 
 def line_words(lines: DataFrame, keys) -> DataFrame:
     """One row per word: (*keys, pos, word)."""
-    return lines.select(*keys, F.posexplode(sequence_words(F.col("line"))).alias("pos", "word"))
+    return unnest(lines, keys, sequence_words(F.col("line")), "word", "pos")
 
 
 def vocabulary(lines: DataFrame, keys) -> DataFrame:
@@ -59,9 +60,9 @@ def pad_left(seqs: DataFrame, seq: str = "seq", length: Column | None = None) ->
 def next_word_table(lines: DataFrame, keys) -> DataFrame:
     """Most frequent follower of each word, alphabetical on ties: (word, next_word)."""
     words = sequence_words(F.col("line"))
-    pairs = lines.select(words.alias("_w")).filter(F.size("_w") >= 2).select(F.explode(F.arrays_zip(
-        F.slice("_w", F.lit(1), F.size("_w") - 1).alias("word"),
-        F.slice("_w", F.lit(2), F.size("_w") - 1).alias("next_word"))).alias("_p")).select("_p.word", "_p.next_word")
+    shifted = lines.select(words.alias("_w")).select(F.arrays_zip(
+        F.col("_w").alias("word"), F.slice("_w", 2, 2 ** 31 - 1).alias("next_word")).alias("_z"))
+    pairs = unnest(shifted, [], F.col("_z"), "_p").select("_p.word", "_p.next_word").filter(F.col("next_word").isNotNull())
     counts = pairs.groupBy("word", "next_word").agg(F.count(F.lit(1)).alias("times"))
     rank = F.row_number().over(Window.partitionBy("word").orderBy(F.desc("times"), "next_word"))
     return counts.withColumn("_rank", rank).filter(F.col("_rank") == 1).select("word", "next_word")

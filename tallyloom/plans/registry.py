@@ -357,7 +357,7 @@ def _counts(docs: DataFrame, lo: int = 1, hi: int = 1) -> DataFrame:
 
 def i3_tokens(spark, d):
     docs = fx.news(spark, d)
-    return docs.select("doc_id", F.posexplode(txt.tokens(F.col("text"))).alias("pos", "token"))
+    return frames.unnest(docs, ["doc_id"], txt.tokens(F.col("text")), "token", "pos")
 
 
 def i4_ngrams(spark, d):
