@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyloom.functions.text import WHITESPACE, strip_space
+from tallyloom.functions.text import REST, WHITESPACE, let, strip_space
 from tallyloom.functions.urls import contains_any
 
 _HIDDEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
@@ -38,23 +38,29 @@ def decode_entities(c: Column) -> Column:
     """Named and numeric character references to characters, each once; unknown ones stay as they are."""
     table = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
 
-    def decode(piece: Column) -> Column:
-        name = F.regexp_extract(piece, _ENTITY, 1)
-        rest = F.substring(piece, F.length(name) + 2, F.length(piece))
-        code = F.when(F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.substring(name, F.lit(3), F.length(name)), 16, 10)) \
-            .otherwise(F.substring(name, F.lit(2), F.length(name))).try_cast("int")
+    def numeric(name: Column) -> Column:
+        digits = F.when(F.lower(F.substring(name, 2, 1)) == "x",
+                        F.conv(F.substring(name, F.lit(3), F.length(name)), 16, 10)
+                        ).otherwise(F.substring(name, F.lit(2), F.length(name)))
+        code = digits.try_cast("int")
         legal = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(F.when(legal, code).otherwise(F.lit(0xFFFD))), 8, "0")), "UTF-32")
-        named = F.try_element_at(table, name)
-        return (F.when(name == "", F.concat(F.lit("&"), piece))
-                .when(name.startswith("#"), F.concat(char, rest))
-                .when(named.isNotNull(), F.concat(named, rest))
-                .otherwise(F.concat(F.lit("&"), piece)))
+        return F.decode(F.unhex(F.lpad(F.hex(F.when(legal, code).otherwise(F.lit(0xFFFD))), 8, "0")), "UTF-32")
+
+    def decode(piece: Column) -> Column:
+        def replaced(name: Column) -> Column:
+            rest = F.substring(piece, F.length(name) + 2, F.length(piece))
+            return (F.when(name == "", F.concat(F.lit("&"), piece))
+                    .when(name.startswith("#"), F.concat(numeric(name), rest))
+                    .otherwise(F.coalesce(F.concat(F.try_element_at(table, name), rest), F.concat(F.lit("&"), piece))))
+
+        return let(F.regexp_extract(piece, _ENTITY, 1), replaced)
+
+    def whole(text: Column) -> Column:
+        decoded = let(F.split(text, "&"), lambda pieces: F.concat(
+            F.get(pieces, F.lit(0)), F.array_join(F.transform(F.slice(pieces, 2, REST), decode), "")))
+        return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
 
-    pieces = F.split(c, "&")
-    decoded = F.concat(F.get(pieces, F.lit(0)),
-                       F.array_join(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decode), ""))
-    return F.when(F.contains(c, F.lit("&")), decoded).otherwise(c)
+    return let(c, whole)
 
 
 def node_text(fragment: Column, strip: str = "none") -> Column:
@@ -78,7 +84,7 @@ def first_tag(fragment: Column, tag: str, strip: str = "trim") -> Column:
 
 def page_title(html: Column, default: str | None = "No Title", strip: str = "trim") -> Column:
     """First ``h1``; ``default`` (or null) for pages without one."""
-    title = first_tag(visible_html(html), "h1", strip)
+    title = let(visible_html(html), lambda page: first_tag(page, "h1", strip))
     return title if default is None else F.coalesce(title, F.lit(default))
 
 
@@ -90,14 +96,13 @@ def page_body(html: Column, min_len: int | None = None, measure: str = "raw", st
     measured on the ``raw`` or the ``trimmed`` text.
     """
     pieces = F.split(visible_html(html), _PARAGRAPH_START)
-    cut = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)),
-                      lambda p: F.get(F.split(p, _PARAGRAPH_END, 2), F.lit(0)))
+    cut = F.transform(F.slice(pieces, 2, REST), lambda p: F.get(F.split(p, _PARAGRAPH_END, 2), F.lit(0)))
     if min_len is None:
         kept = F.transform(cut, lambda p: node_text(p, strip))
     else:
         size_of = "trim" if measure == "trimmed" else "none"
-        both = F.transform(cut, lambda p: F.struct(node_text(p, strip).alias("text"),
-                                                   F.length(node_text(p, size_of)).alias("size")))
+        both = F.transform(cut, lambda p: F.struct(
+            node_text(p, strip).alias("text"), F.length(node_text(p, size_of)).alias("size")))
         kept = F.transform(F.filter(both, lambda s: s["size"] > min_len), lambda s: s["text"])
     return F.array_join(kept, " ")
 
@@ -113,8 +118,7 @@ def page_hrefs(html: Column, patterns=None) -> Column:
 def claim_blocks(html: Column) -> Column:
     """One (title, link) struct per ``article`` block: first ``h2``, else ``h3``, and first link."""
     pieces = F.split(visible_html(html), _ARTICLE_START)
-    blocks = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)),
-                         lambda b: F.get(F.split(b, _ARTICLE_END, 2), F.lit(0)))
+    blocks = F.transform(F.slice(pieces, 2, REST), lambda b: F.get(F.split(b, _ARTICLE_END, 2), F.lit(0)))
 
     def entry(block: Column) -> Column:
         heading = F.coalesce(first_tag(block, "h2", "nodes"), first_tag(block, "h3", "nodes"))

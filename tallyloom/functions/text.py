@@ -22,10 +22,18 @@ NEPALI_STOPWORDS = (
 # Punctuation that separates words in token sequences.
 SEQUENCE_PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\t\n"
 
+# Length that reaches past the end of any array.
+REST = 1 << 30
+
 REFERENCE_TOKEN = r"[\p{L}\p{N}_]{2,}"
 WHOLE_WORD_TOKEN = r"[\p{L}\p{M}\p{N}_]{2,}"
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row, also where ``body`` uses it inside lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip_space(c: Column) -> Column:
     """Cut white space of any kind off both ends."""
     return F.regexp_replace(c, f"^[{WHITESPACE}]+|[{WHITESPACE}]+$", "")
@@ -73,13 +81,13 @@ def ngrams(words: Column, lo: int = 1, hi: int = 1) -> Column:
     if (lo, hi) == (1, 1):
         return words
 
-    def runs(n: int) -> Column:
-        starts = F.when(F.size(words) >= n, F.sequence(F.lit(0), F.size(words) - n)).otherwise(
+    def runs(w: Column, n: int) -> Column:
+        starts = F.when(F.size(w) >= n, F.sequence(F.lit(0), F.size(w) - n)).otherwise(
             F.array().cast("array<int>"))
         # Single elements are read in constant time; slice() would copy the whole array for every run.
-        return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(words, i + k) for k in range(n)]))
+        return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(w, i + k) for k in range(n)]))
 
-    return F.flatten(F.array(*[words if n == 1 else runs(n) for n in range(lo, hi + 1)]))
+    return let(words, lambda w: F.flatten(F.array(*[w if n == 1 else runs(w, n) for n in range(lo, hi + 1)])))
 
 
 def sequence_words(c: Column) -> Column:

@@ -23,6 +23,7 @@ CONTAMINATION, TREES, SAMPLE, SEED = 0.01, 100, 256, 42
 GROUP_LIMIT = 100_000
 ROWS_PER_CHUNK = 100_000
 SCORE_DIGITS = 6
+ALL_TREES = -1
 
 
 def _mean_path(n: np.ndarray) -> np.ndarray:
@@ -113,8 +114,10 @@ def _sampled(rows: DataFrame, by: str, trees: int, sample: int) -> DataFrame:
     every = F.sequence(F.lit(0), F.lit(trees - 1))
     ranked = F.array_sort(F.transform(every, lambda t: F.struct(F.xxhash64(F.col("_id"), t).alias("h"), t.alias("t"))))
     some = F.transform(F.slice(ranked, F.lit(1), F.col("_copies")), lambda s: s["t"])
-    chosen = (F.when(F.col("_copies") == 1, F.array(F.pmod(F.xxhash64("_id", F.lit(-1)), F.lit(trees)).cast("int")))
-              .when(F.col("_copies") == trees, every).otherwise(some))
+    # Days no larger than a sample: every tree grows from all rows, sent once under the mark ALL_TREES.
+    chosen = (F.when(F.col("_n") <= sample, F.array(F.lit(ALL_TREES)))
+              .when(F.col("_copies") == 1, F.array(F.pmod(F.xxhash64("_id", F.lit(-1)), F.lit(trees)).cast("int")))
+              .otherwise(some))
     assigned = drawn.withColumn("_tree", F.explode_outer(chosen)).withColumn("_order", F.xxhash64("_id", "_tree"))
     rank = F.row_number().over(Window.partitionBy(by, "_tree").orderBy("_order", "_id"))
     return assigned.withColumn("_rank", rank).filter(F.col("_rank") <= sample)
@@ -149,7 +152,10 @@ def isolation_scores(fact: DataFrame, by: str = "trade_date", keys=("buyer_broke
         if len(out) == 0:
             return out.assign(score=pd.Series(dtype=float))
         drawn = drawn.sort_values(["_tree", "_id"], kind="stable")
-        forest = grow_forest(drawn[features].to_numpy(float), drawn["_tree"].to_numpy(np.int64), trees, seed)
+        grown, tree = drawn[features].to_numpy(float), drawn["_tree"].to_numpy(np.int64)
+        if len(tree) and tree[0] == ALL_TREES:
+            grown, tree = np.tile(grown, (trees, 1)), np.repeat(np.arange(trees), len(tree))
+        forest = grow_forest(grown, tree, trees, seed)
         rows_in = out[features].astype(float).to_numpy()
         return out.assign(score=path_scores(rows_in, forest, int(min(sample, part["_n"].iloc[0]))))
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.functions.text import sequence_words
+from tallyloom.functions.text import REST, sequence_words
 from tallyloom.operators.frames import unnest
 from tallyloom.operators.skew import ROWS_PER_TASK, global_rank, hot_keys, spread_join
+from tallyloom.session import cut_lineage
 
 
 def text_lines(df: DataFrame, keys, text: str = "text") -> DataFrame:
@@ -61,7 +62,7 @@ def next_word_table(lines: DataFrame, keys) -> DataFrame:
     """Most frequent follower of each word, alphabetical on ties: (word, next_word)."""
     words = sequence_words(F.col("line"))
     shifted = lines.select(words.alias("_w")).select(F.arrays_zip(
-        F.col("_w").alias("word"), F.slice("_w", 2, 2 ** 31 - 1).alias("next_word")).alias("_z"))
+        F.col("_w").alias("word"), F.slice("_w", 2, REST).alias("next_word")).alias("_z"))
     pairs = unnest(shifted, [], F.col("_z"), "_p").select("_p.word", "_p.next_word").filter(F.col("next_word").isNotNull())
     counts = pairs.groupBy("word", "next_word").agg(F.count(F.lit(1)).alias("times"))
     rank = F.row_number().over(Window.partitionBy("word").orderBy(F.desc("times"), "next_word"))
@@ -70,17 +71,19 @@ def next_word_table(lines: DataFrame, keys) -> DataFrame:
 
 def follow_chain(table: DataFrame, k: int, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """The next ``k`` words after each word, found once per distinct word: (word, next_words)."""
+    # Each step reads the one before twice (rows and hot keys): both are kept, or the work would double per step.
+    table = cut_lineage(table)
     steps = table.select("word", F.array("next_word").alias("next_words"), F.col("next_word").alias("_at"))
     step = table.select(F.col("word").alias("_at"), F.col("next_word").alias("_to"))
     for _ in range(k - 1):
-        # Words without a follower end their chain; hot followers are split.
+        # Words without a follower end their chain; followers many words lead to are split.
         hot = hot_keys(steps, "_at", rows_per_task)
         joined = spread_join(steps, step, "_at", hot, how="left", spread_by=["word"])
-        steps = joined.select(
+        steps = cut_lineage(joined.select(
             "word",
             F.when(F.col("_to").isNull(), F.col("next_words"))
             .otherwise(F.concat("next_words", F.array("_to"))).alias("next_words"),
-            F.col("_to").alias("_at"))
+            F.col("_to").alias("_at")))
     return steps.select("word", "next_words")
 
 
