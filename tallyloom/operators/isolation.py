@@ -83,24 +83,23 @@ def grow_forest(x: np.ndarray, tree: np.ndarray, trees: int, seed: int) -> tuple
     return feature, threshold, path
 
 
-def path_scores(x: np.ndarray, forest: tuple, sample: int) -> np.ndarray:
+def path_scores(x: np.ndarray, forest: tuple, sample: int, block: int = 20_000) -> np.ndarray:
     """Anomaly score 2^(-mean path / c(sample)) of each row; near 1 is odd, near 0 is ordinary."""
     feature, threshold, path = forest
-    total = np.zeros(len(x))
-    rows = np.arange(len(x))
+    trees = np.arange(feature.shape[0])[:, None]
     height = int(math.log2(feature.shape[1] + 1)) - 1
-    for t in range(feature.shape[0]):
-        node = np.zeros(len(x), dtype=np.int64)
-        for _ in range(height):
-            f = feature[t, node]
-            inner = f >= 0
-            if not inner.any():
-                break
-            right = x[rows, np.where(inner, f, 0)] > threshold[t, node]
-            node = np.where(inner, 2 * node + 1 + right, node)
-        total += path[t, node]
     scale = float(_mean_path(np.array([sample]))[0])
-    return np.power(2.0, -(total / feature.shape[0]) / scale) if scale > 0 else np.full(len(x), 0.5)
+    mean = np.empty(len(x))
+    for first in range(0, len(x), block):
+        part = x[first:first + block]
+        rows = np.arange(len(part))[None, :]
+        node = np.zeros((feature.shape[0], len(part)), dtype=np.int64)
+        for _ in range(height):
+            f = feature[trees, node]
+            right = part[rows, np.maximum(f, 0)] > threshold[trees, node]
+            node = np.where(f >= 0, 2 * node + 1 + right, node)
+        mean[first:first + block] = path[trees, node].mean(axis=0)
+    return np.power(2.0, -mean / scale) if scale > 0 else np.full(len(x), 0.5)
 
 
 def _sampled(rows: DataFrame, by: str, trees: int, sample: int) -> DataFrame:
@@ -159,8 +158,11 @@ def isolation_scores(fact: DataFrame, by: str = "trade_date", keys=("buyer_broke
         rows_in = out[features].astype(float).to_numpy()
         return out.assign(score=path_scores(rows_in, forest, int(min(sample, part["_n"].iloc[0]))))
 
-    scored = (wanted.groupBy(by, "_chunk").cogroup(samples.groupBy("_sample_of", "_sample_chunk"))
-              .applyInPandas(score, schema).withColumn("score", F.round("score", SCORE_DIGITS)))
+    # A fixed number of partitions: growing forests costs time, not bytes, so small data must stay spread out.
+    parts = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = wanted.repartition(parts, by, "_chunk").groupBy(by, "_chunk")
+    drawn_rows = samples.repartition(parts, "_sample_of", "_sample_chunk").groupBy("_sample_of", "_sample_chunk")
+    scored = placed.cogroup(drawn_rows).applyInPandas(score, schema).withColumn("score", F.round("score", SCORE_DIGITS))
     # Read twice below (percentile and flags): keep the scores instead of growing the forests again.
     return flag_outliers(cut_lineage(scored), by, contamination)
 
