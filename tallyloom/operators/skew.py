@@ -18,10 +18,10 @@ def bounded(df: DataFrame, rows: int, what: str) -> DataFrame:
 
     The check is part of the plan, so a broadcast of the result has a proven size.
     """
-    capped = df.limit(rows + 1).withColumn("_row", F.monotonically_increasing_id())
-    fits = F.when(F.col("_row") < rows, F.lit(True)).otherwise(
+    capped = df.limit(rows + 1).withColumn("_all", F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))))
+    fits = F.when(F.col("_all") <= rows, F.lit(True)).otherwise(
         F.raise_error(F.lit(f"more than {rows} rows in {what}")).cast("boolean"))
-    return capped.filter(fits).drop("_row")
+    return capped.filter(fits).drop("_all")
 
 
 def hot_keys(df: DataFrame, keys, rows_per_task: int = ROWS_PER_TASK, weight: str | None = None) -> DataFrame:

@@ -60,13 +60,13 @@ def summarise(spark: SparkSession, root: str, lookback_days: int = 0) -> None:
     trades = read_table(spark, paths["trades"], K.TRADES)
     if trades is None:
         return
-    staged = gold.stage_trades(trades)
-    quality.require_clean(staged, "staged trades", ["contract_id", "symbol"])
     target = read_table(spark, paths["fact"], K.BROKER_SUMMARY)
-    fresh = gold.daily_broker_summary(gold.incremental_slice(staged, target, lookback_days=lookback_days))
-    merge_days(silver.with_audit(fresh, "created_at"), paths["fact"], K.SUMMARY_KEYS, K.BROKER_SUMMARY)
-    quality.require_clean(read_table(spark, paths["fact"], K.BROKER_SUMMARY), "broker matrix",
-                          ["total_volume", "total_amount"])
+    # Only the days to be reprocessed are read, checked and merged; older days stay untouched.
+    staged = gold.incremental_slice(gold.stage_trades(trades), target, lookback_days=lookback_days)
+    quality.require_clean(staged, "staged trades", ["contract_id", "symbol"])
+    fresh = cut_lineage(silver.with_audit(gold.daily_broker_summary(staged), "created_at"))
+    quality.require_clean(fresh, "broker matrix", ["total_volume", "total_amount"])
+    merge_days(fresh, paths["fact"], K.SUMMARY_KEYS, K.BROKER_SUMMARY)
 
 
 def raise_alerts(spark: SparkSession, day: str, root: str) -> int:
