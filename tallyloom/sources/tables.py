@@ -50,19 +50,24 @@ def overwrite_days(df: DataFrame, path: str, day: str = "trade_date", sort: str
      .partitionBy(day).parquet(path))
 
 
+def days_of(table: DataFrame, updates: DataFrame, day: str = "trade_date") -> DataFrame:
+    """Rows of ``table`` on the days present in ``updates``; other day folders are pruned at run time."""
+    days = bounded(updates.select(day).distinct(), DAY_LIMIT, "days in one update")
+    return table.join(F.broadcast(days), day, "left_semi").select(*table.columns)
+
+
 def merge_days(updates: DataFrame, path: str, keys, contract: T.StructType, day: str = "trade_date",
                sort: str = "symbol") -> None:
     """Merge ``updates`` by key into the days they touch; keys of those days not in ``updates`` are kept.
 
-    The merged days are written to the checkpoint folder first: the path is never replaced while it is read.
+    ``updates`` is read twice and should be materialised. The merged days are written to the checkpoint
+    folder first: the path is never replaced while it is read.
     """
     target = read_table(updates.sparkSession, path, contract)
     if target is None:
         overwrite_days(updates, path, day, sort)
         return
-    updates = cut_lineage(updates)
-    days = bounded(updates.select(day).distinct(), DAY_LIMIT, "days in one merge")
-    touched = target.select(*updates.columns).join(F.broadcast(days), day, "left_semi")
+    touched = days_of(target.select(*updates.columns), updates, day)
     overwrite_days(cut_lineage(merge_upsert(touched, updates, keys)), path, day, sort)
 
 

@@ -12,11 +12,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyloom import contracts as K
 from tallyloom.operators import gold, silver
-from tallyloom.operators.skew import bounded
 from tallyloom.plans.daily import table_paths
 from tallyloom.session import cut_lineage
 from tallyloom.sources.bronze import FEEDS
-from tallyloom.sources.tables import DAY_LIMIT, merge_days, overwrite_days, read_table
+from tallyloom.sources.tables import days_of, overwrite_days, read_table
 
 
 def read_documents(spark: SparkSession, root: str, feed: str = "floorsheet", files_per_batch: int = 1000) -> DataFrame:
@@ -28,16 +27,20 @@ def read_documents(spark: SparkSession, root: str, feed: str = "floorsheet", fil
 def merge_batch(documents: DataFrame, root: str) -> None:
     """Merge one batch of documents: trades by their key, then the matrix of the days touched.
 
-    Repeating a batch leaves the tables as they are.
+    Stored and new trades of those days compete under one order, so neither the cut into batches nor a
+    repeated batch changes the outcome.
     """
     spark, paths = documents.sparkSession, table_paths(root)
-    trades = cut_lineage(silver.clean_trades(silver.flatten_trades(documents.drop("dt"))).filter(F.col("trade_date").isNotNull()))
+    flat = silver.flatten_trades(documents.drop("dt"))
+    trades = cut_lineage(silver.clean_trades(flat).filter(F.col("trade_date").isNotNull()))
     if trades.isEmpty():
         return
-    merge_days(trades, paths["trades"], K.TRADE_KEYS, K.TRADES)
-    days = F.broadcast(bounded(trades.select("trade_date").distinct(), DAY_LIMIT, "days in one batch"))
-    stored = read_table(spark, paths["trades"], K.TRADES).join(days, "trade_date", "left_semi")
-    fact = silver.with_audit(gold.daily_broker_summary(gold.stage_trades(stored)), "created_at")
+    stored = read_table(spark, paths["trades"], K.TRADES)
+    if stored is not None:
+        touched = days_of(stored.select(*trades.columns), trades)
+        trades = cut_lineage(silver.first_trades(trades.unionByName(touched)))
+    overwrite_days(trades, paths["trades"])
+    fact = silver.with_audit(gold.daily_broker_summary(gold.stage_trades(trades)), "created_at")
     overwrite_days(fact, paths["fact"])
 
 
