@@ -7,9 +7,11 @@ hash-drawn samples, so the result depends on the rows and the seed only, not on
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +20,9 @@ from tallyloom.functions.hashing import HASH_BITS
 from tallyloom.operators.skew import bounded
 from tallyloom.session import cut_lineage
 
+# Send this module's functions with the tasks: executors need numpy and pandas, but not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 FEATURES = ("total_volume", "total_amount", "trade_count")
 CONTAMINATION, TREES, SAMPLE, SEED = 0.01, 100, 256, 42
 GROUP_LIMIT = 100_000

@@ -141,3 +141,18 @@ def test_isolation_forest(spark):
     # Neither the partitioning nor the chunk size changes a score.
     again = isolation.isolation_scores(df.repartition(7), trees=50, rows_per_chunk=100)
     assert again.exceptAll(scored).count() == 0 and scored.exceptAll(again).count() == 0
+
+
+def test_forest_functions_run_without_the_package(tmp_path):
+    """Workers may lack this package; the functions sent to them must not need it."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    sent = tmp_path / "sent.bin"
+    sent.write_bytes(cloudpickle.dumps((isolation.grow_forest, isolation.path_scores)))
+    code = ("import pickle, sys, numpy as np; grow, score = pickle.load(open(sys.argv[1], 'rb'));"
+            "x = np.arange(30.0).reshape(10, 3); f = grow(x, np.zeros(10, dtype=np.int64), 1, 42);"
+            "assert len(score(x, f, 10)) == 10 and 'tallyloom' not in sys.modules")
+    subprocess.run([sys.executable, "-c", code, str(sent)], check=True, cwd=str(tmp_path))
