@@ -15,7 +15,8 @@ _PARAGRAPH_START = r"(?i)<p(?:\s[^>]*)?>"
 _PARAGRAPH_END = r"(?i)</p\s*>|</article\s*>"
 _ARTICLE_START = r"(?i)<article(?:\s[^>]*)?>"
 _ARTICLE_END = r"(?i)</article\s*>"
-_HREF = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
+_HREF = r"""(?is)<a(?=\s)[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+_QUOTES = r"""^["']|["']$"""
 _ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 # Named characters decoded in page text.
@@ -107,9 +108,14 @@ def page_body(html: Column, min_len: int | None = None, measure: str = "raw", st
     return F.array_join(kept, " ")
 
 
+def _target(value: Column) -> Column:
+    """Link target of an attribute value, quoted or bare."""
+    return decode_entities(F.regexp_replace(value, _QUOTES, ""))
+
+
 def page_hrefs(html: Column, patterns=None) -> Column:
     """Distinct link targets in page order, those holding one of ``patterns`` if given."""
-    hrefs = F.transform(F.regexp_extract_all(visible_html(html), F.lit(_HREF), F.lit(1)), decode_entities)
+    hrefs = F.transform(F.regexp_extract_all(visible_html(html), F.lit(_HREF), F.lit(1)), _target)
     if patterns is not None:
         hrefs = F.filter(hrefs, lambda h: contains_any(h, patterns))
     return F.array_distinct(hrefs)
@@ -122,7 +128,7 @@ def claim_blocks(html: Column) -> Column:
 
     def entry(block: Column) -> Column:
         heading = F.coalesce(first_tag(block, "h2", "nodes"), first_tag(block, "h3", "nodes"))
-        link = F.when(F.regexp_like(block, F.lit(_HREF)), decode_entities(F.regexp_extract(block, _HREF, 1)))
+        link = F.when(F.regexp_like(block, F.lit(_HREF)), _target(F.regexp_extract(block, _HREF, 1)))
         return F.struct(heading.alias("title"), link.alias("link"))
 
     return F.transform(blocks, entry)

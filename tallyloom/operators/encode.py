@@ -2,43 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.profile import distinct_per_column
-from tallyloom.operators.skew import bounded, global_rank, hot_keys, spread_join
+from tallyloom.operators.skew import global_rank
 
-SMALL_CATEGORY = 50_000
 
+def category_codes(df: DataFrame, cols) -> DataFrame:
+    """Distinct values of text columns with codes 0, 1, 2, ... in alphabetical order: (column, value, code).
 
-def category_codes(df: DataFrame, col: str, large: bool = False) -> DataFrame:
-    """Distinct values of a column with codes 0, 1, 2, ... in alphabetical order: (col, code)."""
-    values = df.select(col).filter(F.col(col).isNotNull()).distinct()
-    if large:
-        return global_rank(values, [F.col(col)], "code").withColumn("code", F.col("code") - 1)
-    rank = F.row_number().over(Window.orderBy(col)) - 1
-    return bounded(values, 2 * SMALL_CATEGORY, f"values of {col}").withColumn("code", rank.cast("int"))
+    All columns are read in one pass and ranked together in range partitions; a column's first rank is taken off.
+    """
+    stacked = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in cols])))
+    ranked = global_rank(stacked.filter(F.col("value").isNotNull()).distinct(), [F.col("column"), F.col("value")], "_rank")
+    first = ranked.groupBy("column").agg(F.min("_rank").alias("_first"))
+    return ranked.join(first, "column").select("column", "value", (F.col("_rank") - F.col("_first")).alias("code"))
 
 
-def label_encode(df: DataFrame, cols, null_text: str | None = "nan",
-                 small: int = SMALL_CATEGORY) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Replace text columns by their codes; also return the code table of each column.
+def label_encode(df: DataFrame, cols, null_text: str | None = "nan") -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Replace text columns by their codes; also return the code table (value column, code) of each column.
 
-    Columns with few distinct values join a broadcast code table whose size the plan checks; the
-    others are ranked and joined in parallel, hot values split.
+    Small code tables are broadcast by their measured size; a large one is joined by value, where Spark splits hot ones.
     """
     cols = list(cols)
     if null_text is not None:
         df = df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(null_text)) for c in cols})
-    sizes = distinct_per_column(df, cols)
+    codes = category_codes(df, cols)
     tables, encoded = {}, df
     for c in cols:
-        large = sizes[c] > small
-        codes = category_codes(df, c, large)
-        tables[c] = codes
-        if large:
-            joined = spread_join(encoded, codes, c, hot_keys(df, c), how="left")
-        else:
-            joined = encoded.join(F.broadcast(codes), c, "left")
-        encoded = joined.withColumn(c, F.col("code")).drop("code")
+        tables[c] = codes.filter(F.col("column") == c).select(F.col("value").alias(c), "code")
+        encoded = encoded.join(tables[c], c, "left").withColumn(c, F.col("code")).drop("code")
     return encoded.select(*df.columns), tables

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions.hashing import HASH_BITS
-from tallyloom.operators.skew import bounded
 from tallyloom.session import cut_lineage
 
 # Send this module's functions with the tasks: executors need numpy and pandas, but not this package.
@@ -25,7 +24,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FEATURES = ("total_volume", "total_amount", "trade_count")
 CONTAMINATION, TREES, SAMPLE, SEED = 0.01, 100, 256, 42
-GROUP_LIMIT = 100_000
 ROWS_PER_CHUNK = 100_000
 SCORE_DIGITS = 6
 ALL_TREES = -1
@@ -110,8 +108,8 @@ def path_scores(x: np.ndarray, forest: tuple, sample: int, block: int = 20_000)
 def _sampled(rows: DataFrame, by: str, trees: int, sample: int) -> DataFrame:
     """Rows each tree grows from: min(sample, n) of a day's n rows per tree, drawn by hash."""
     pool = trees * sample
-    # Copies of a row: as many trees as are needed to fill all of them from n rows.
-    copies = F.least(F.lit(trees), F.ceil(F.lit(float(pool)) / F.col("_n"))).cast("int")
+    # Copies of a row: half as many again as fill all trees from n rows, so none falls short; the rank cuts the rest.
+    copies = F.least(F.lit(trees), F.ceil(F.lit(1.5 * pool) / F.col("_n"))).cast("int")
     # Large days: keep four times the rows needed, long before any sort.
     share = F.lit(4.0 * pool) / F.col("_n") * F.lit(float(2 ** HASH_BITS))
     drawn = rows.filter((F.col("_n") <= 4 * pool) | (F.col("_draw") < share)).withColumn("_copies", copies)
@@ -136,11 +134,10 @@ def isolation_scores(fact: DataFrame, by: str = "trade_date", keys=("buyer_broke
     its day, grows the same forest from it and scores its own rows, so no task holds a whole large day.
     """
     features, keys = list(features), list(keys)
-    # Per-day counts; the broadcast fails above GROUP_LIMIT days (centuries of daily data).
-    sizes = bounded(fact.groupBy(by).agg(F.count(F.lit(1)).alias("_n")), GROUP_LIMIT, f"values of {by}")
+    sizes = fact.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
     chunks = F.ceil(F.col("_n") / F.lit(rows_per_chunk)).cast("int")
     rows = (fact.withColumn("_id", F.xxhash64(by, *keys, F.lit(seed)))
-            .join(F.broadcast(sizes), by)
+            .join(sizes, by)
             .withColumn("_draw", F.shiftrightunsigned(F.xxhash64("_id", F.lit("draw")), 64 - HASH_BITS))
             .withColumn("_chunk", F.pmod(F.xxhash64("_id", F.lit("chunk")), chunks).cast("int")))
     numbers = [F.col(c).cast("double").alias(c) for c in features]
@@ -180,8 +177,7 @@ def flag_outliers(scored: DataFrame, by: str = "trade_date", contamination: floa
     """
     counts = scored.groupBy(by, "score").agg(F.count(F.lit(1)).alias("_times"))
     cuts = counts.groupBy(by).agg(F.percentile("score", 1.0 - contamination, F.col("_times")).alias("_cut"))
-    limits = F.broadcast(bounded(cuts, GROUP_LIMIT, f"values of {by}"))
-    return scored.join(limits, by).withColumn(
+    return scored.join(cuts, by).withColumn(
         "prediction", F.when(F.col("score") > F.col("_cut"), F.lit(-1)).otherwise(F.lit(1))).drop("_cut")
 
 

@@ -7,7 +7,7 @@ from pyspark.ml.classification import LinearSVC, RandomForestClassifier
 from pyspark.ml.feature import IDF, CountVectorizer, Normalizer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import ngrams, tokens
@@ -98,16 +98,16 @@ def score_sales(df: DataFrame, model: PipelineModel) -> DataFrame:
         "features", "_incomplete", *[f"_{c}" for c in features])
 
 
-def importances(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Importance of each feature as rows (feature, importance); ``df`` only supplies the session."""
+def importances(model: PipelineModel, spark: SparkSession) -> DataFrame:
+    """Importance of each feature of a fitted model as rows (feature, importance)."""
     names = model.stages[0].getInputCols()
     values = model.stages[-1].featureImportances.toArray().tolist()
-    return df.sparkSession.createDataFrame(list(zip(names, values)), "feature string, importance double")
+    return spark.createDataFrame(list(zip(names, values)), "feature string, importance double")
 
 
-def top_importances(model: PipelineModel, df: DataFrame, n: int = 7) -> DataFrame:
+def top_importances(model: PipelineModel, spark: SparkSession, n: int = 7) -> DataFrame:
     """The ``n`` most important features."""
-    return importances(model, df).orderBy(F.desc("importance"), "feature").limit(n)
+    return importances(model, spark).orderBy(F.desc("importance"), "feature").limit(n)
 
 
 def class_probabilities(scored: DataFrame) -> DataFrame:

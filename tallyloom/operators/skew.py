@@ -9,19 +9,7 @@ from tallyloom.functions.hashing import HASH_BITS, keyed_hash
 from tallyloom.session import cut_lineage
 
 ROWS_PER_TASK = 1_000_000
-HOT_KEYS = 10_000
-CLASS_LIMIT = 1_000
-
-
-def bounded(df: DataFrame, rows: int, what: str) -> DataFrame:
-    """``df`` itself, failing the query where it holds more than ``rows`` rows.
-
-    The check is part of the plan, so a broadcast of the result has a proven size.
-    """
-    capped = df.limit(rows + 1).withColumn("_all", F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))))
-    fits = F.when(F.col("_all") <= rows, F.lit(True)).otherwise(
-        F.raise_error(F.lit(f"more than {rows} rows in {what}")).cast("boolean"))
-    return capped.filter(fits).drop("_all")
+NULL_PARTS = 256
 
 
 def hot_keys(df: DataFrame, keys, rows_per_task: int = ROWS_PER_TASK, weight: str | None = None) -> DataFrame:
@@ -33,7 +21,6 @@ def hot_keys(df: DataFrame, keys, rows_per_task: int = ROWS_PER_TASK, weight: st
     counts = (df.select(*keys, F.col(weight).alias("_rows")) if weight
               else df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")))
     return (counts.filter(F.col("_rows") > rows_per_task)
-            .orderBy(F.desc("_rows"), *keys).limit(HOT_KEYS)
             .select(*keys, F.ceil(F.col("_rows") / F.lit(rows_per_task)).cast("int").alias("_parts")))
 
 
@@ -42,14 +29,18 @@ def spread_join(facts: DataFrame, lookup: DataFrame, on, hot: DataFrame, how: st
     """Join a large table to a lookup, each hot key split over several tasks.
 
     Rows of ``facts`` with a hot key go to one of its parts by a hash of ``spread_by``; the lookup's
-    rows of that key are copied to every part. The list of hot keys has at most ``HOT_KEYS`` rows.
+    rows of that key are copied to every part. Rows with a null key never match; they are spread as well, so that a
+    left join does not send all of them to one task. Whether the list of hot keys is broadcast is decided by its size.
     """
     on = [on] if isinstance(on, str) else list(on)
-    hot = F.broadcast(hot)
     parts = F.coalesce(F.col("_parts"), F.lit(1))
+    null = F.lit(False)
+    for c in on:
+        null = null | F.col(c).isNull()
     spread = [F.col(c) for c in (spread_by or facts.columns)]
-    left = facts.join(hot, on, "left").withColumn("_part", F.pmod(F.xxhash64(*spread), parts).cast("int")).drop("_parts")
-    right = (lookup.join(hot, on, "left")
+    left = facts.join(hot, on, "left").withColumn("_part", F.pmod(
+        F.xxhash64(*spread), F.when(null, F.lit(NULL_PARTS)).otherwise(parts)).cast("int")).drop("_parts")
+    right = (lookup.filter(~null).join(hot, on, "left")
              .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts"))
     return left.join(right, [*on, "_part"], how).drop("_part")
 
@@ -65,7 +56,7 @@ def global_rank(df: DataFrame, order, name: str, parts: int | None = None) -> Da
     placed = cut_lineage(df.repartitionByRange(parts, *order).withColumn("_bucket", F.spark_partition_id()))
     sizes = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = bounded(sizes, parts, "partition sizes").select(
+    starts = sizes.select(
         "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     within = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
     return (placed.withColumn("_within", within)
@@ -88,6 +79,6 @@ def lowest_hash_cut(df: DataFrame, group: str, key: str, n: Column, seed: int, b
             .filter((F.col("_need") >= 1) & (F.col("_need") <= F.col("_size")))
             .select(group, "_bucket", "_need"))
     rank = F.row_number().over(Window.partitionBy(group).orderBy("_hash", key))
-    return (hashed.join(F.broadcast(bounded(edge, CLASS_LIMIT, f"classes of {group}")), [group, "_bucket"])
+    return (hashed.join(edge, [group, "_bucket"])
             .withColumn("_rank", rank).filter(F.col("_rank") == F.col("_need"))
             .select(group, F.col("_hash").alias("_cut_hash"), F.col(key).alias("_cut_key")))

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from tallyloom import contracts as K
 from tallyloom.operators import alerts, gold, isolation, quality, silver
+from tallyloom.operators.keyed import EARLIEST_DAY, last_day
 from tallyloom.session import cut_lineage, get_session
 from tallyloom.sources.bronze import day_path, read_floorsheet, read_forex, read_landed, read_or_none
-from tallyloom.sources.tables import append_rows, merge_days, overwrite_days, read_table
+from tallyloom.sources.tables import append_rows, merge_days, read_table
 
 log = logging.getLogger(__name__)
 
@@ -24,7 +25,8 @@ log = logging.getLogger(__name__)
 def table_paths(root: str) -> dict[str, str]:
     """Folders of the tables the job writes."""
     return {"forex": f"{root}/silver/forex_rates", "trades": f"{root}/silver/trades",
-            "fact": f"{root}/gold/daily_broker_summary", "alerts": f"{root}/gold/risk_alerts"}
+            "fact": f"{root}/gold/daily_broker_summary", "alerts": f"{root}/gold/risk_alerts",
+            "rejected": f"{root}/silver/rejected"}
 
 
 def _documents(spark: SparkSession, root: str, feed: str, day: str, read) -> DataFrame | None:
@@ -33,36 +35,56 @@ def _documents(spark: SparkSession, root: str, feed: str, day: str, read) -> Dat
     return landed if landed is not None else read_or_none(lambda: read(spark, day_path(root, feed, day)))
 
 
+def _keep_rejected(rejected: DataFrame, path: str, feed: str, day: str) -> None:
+    """Store a run's rejected rows as JSON with their reasons; a repeated run replaces its own."""
+    rows = rejected.select(F.lit(feed).alias("feed"), F.lit(day).alias("run_day"), "reasons",
+                           F.to_json(F.struct(*[c for c in rejected.columns if c != "reasons"])).alias("row"))
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("feed", "run_day").parquet(path))
+
+
 def clean_day(spark: SparkSession, day: str, root: str) -> dict[str, int]:
-    """Rewrite the day's clean tables; a feed without data is skipped with a warning. Returns rows written."""
+    """Merge the run's documents into the clean tables; a feed without data is skipped with a warning.
+
+    A document may hold rows of other days: they are merged by key, so nothing stored before is lost. Rows that miss a
+    required column or break a rule go to the rejected table. Returns rows merged.
+    """
     paths, written = table_paths(root), {}
-    feeds = (("forex", read_forex, lambda raw: silver.clean_forex(silver.flatten_forex(raw)), "rate_date", "currency_iso3"),
-             ("floorsheet", read_floorsheet, lambda raw: silver.clean_trades(silver.flatten_trades(raw)), "trade_date", "symbol"))
-    for feed, read, clean, column, sort in feeds:
+    feeds = (("forex", read_forex, lambda raw: silver.clean_forex(silver.flatten_forex(raw)), "rate_date", "currency_iso3",
+              K.FOREX_RATES, K.FOREX_KEYS, K.FOREX_RULES),
+             ("floorsheet", read_floorsheet, lambda raw: silver.clean_trades(silver.flatten_trades(raw)), "trade_date", "symbol",
+              K.TRADES, K.TRADE_KEYS, K.TRADE_RULES))
+    for feed, read, clean, column, sort, contract, keys, rules in feeds:
         raw = _documents(spark, root, feed, day, read)
         if raw is None:
             log.warning("no %s documents for %s, skipped", feed, day)
             continue
         target = paths["forex" if feed == "forex" else "trades"]
-        rows = cut_lineage(clean(raw))
-        bad = quality.check_not_null(rows, [column]).filter(F.col("violations") > 0)
-        if not bad.isEmpty():
-            log.warning("%s rows of %s without a date are left out", feed, day)
-            rows = rows.filter(F.col(column).isNotNull())
-        written[feed] = rows.count()
-        overwrite_days(rows, target, column, sort)
+        good, rejected = quality.quarantine(cut_lineage(clean(raw)), rules, K.required_columns(contract))
+        if not rejected.isEmpty():
+            log.warning("%s rows of %s are rejected, see %s", feed, day, paths["rejected"])
+            _keep_rejected(rejected, paths["rejected"], feed, day)
+        written[feed] = good.count()
+        if written[feed]:
+            merge_days(good, target, keys, contract, column, sort)
+            if feed == "floorsheet":
+                written["days"] = [r[0] for r in good.select(column).distinct().orderBy(column).collect()]
     return written
 
 
-def summarise(spark: SparkSession, root: str, lookback_days: int = 0) -> None:
-    """Bring the broker matrix up to date from its last day on and merge by key."""
+def summarise(spark: SparkSession, root: str, lookback_days: int = 0, days=()) -> None:
+    """Bring the broker matrix up to date from its last day on, and for ``days``, which may be earlier; merge by key."""
     paths = table_paths(root)
     trades = read_table(spark, paths["trades"], K.TRADES)
     if trades is None:
         return
     target = read_table(spark, paths["fact"], K.BROKER_SUMMARY)
     # Only the days to be reprocessed are read, checked and merged; older days stay untouched.
-    staged = gold.incremental_slice(gold.stage_trades(trades), target, lookback_days=lookback_days)
+    ready = gold.stage_trades(trades)
+    staged = gold.incremental_slice(ready, target, lookback_days=lookback_days)
+    if days and target is not None:
+        late = ready.filter(F.col("trade_date").isin(list(days)) & (F.col("trade_date") < F.coalesce(
+            F.date_sub(last_day(target), lookback_days), F.lit(EARLIEST_DAY).cast("date"))))
+        staged = staged.unionByName(late)
     quality.require_clean(staged, "staged trades", ["contract_id", "symbol"])
     fresh = cut_lineage(silver.with_audit(gold.daily_broker_summary(staged), "created_at"))
     quality.require_clean(fresh, "broker matrix", ["total_volume", "total_amount"])
@@ -70,7 +92,7 @@ def summarise(spark: SparkSession, root: str, lookback_days: int = 0) -> None:
 
 
 def raise_alerts(spark: SparkSession, day: str, root: str) -> int:
-    """Score the day and add alerts that are not there yet. Returns how many were added."""
+    """Score a day and add alerts that are not there yet. Returns how many were added."""
     paths = table_paths(root)
     fact = read_table(spark, paths["fact"], K.BROKER_SUMMARY)
     today = None if fact is None else fact.filter(F.col("trade_date") == F.lit(day).cast("date")).drop("created_at")
@@ -82,6 +104,10 @@ def raise_alerts(spark: SparkSession, day: str, root: str) -> int:
     if stored is not None:
         stored = stored.filter(F.col("alert_date") == F.lit(day).cast("date"))
     new = cut_lineage(silver.with_audit(alerts.build_alerts(found, stored), "created_at"))
+    new, unfit = quality.quarantine(new, K.ALERT_RULES)
+    if not unfit.isEmpty():
+        log.warning("alerts of %s are rejected, see %s", day, paths["rejected"])
+        _keep_rejected(unfit, paths["rejected"], "alerts", day)
     added = new.count()
     if added:
         append_rows(new, paths["alerts"], "alert_date")
@@ -94,8 +120,9 @@ def run_day(spark: SparkSession, day: str | None, root: str, lookback_days: int
         raise ValueError("a run date (YYYY-MM-DD) is needed")
     datetime.date.fromisoformat(day)
     counts = clean_day(spark, day, root)
-    summarise(spark, root, lookback_days)
-    counts["alerts"] = raise_alerts(spark, day, root)
+    days = counts.pop("days", [])
+    summarise(spark, root, lookback_days, days)
+    counts["alerts"] = sum(raise_alerts(spark, d, root) for d in sorted({day, *map(str, days)}))
     return counts
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.contracts import FLOORSHEET_DOCUMENT, FOREX_DOCUMENT
+from tallyloom.contracts import FLOORSHEET_DOCUMENT, FOREX_DOCUMENT, TRADE_KEYS
 from tallyloom.functions.html import page_title
 from tallyloom.operators.gold import daily_broker_summary, stage_trades
 from tallyloom.operators.keyed import dedupe
@@ -41,8 +41,8 @@ def raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per contract under a total order."""
-    first = dedupe(raw_trades(spark, sf_dir), ["contract_id"], list(TRADE_ORDER))
+    """One row per contract and day under a total order."""
+    first = dedupe(raw_trades(spark, sf_dir), TRADE_KEYS, list(TRADE_ORDER))
     return first.filter((F.col("quantity") > 0) & (F.col("total_amount") > 0))
 
 
@@ -106,6 +106,11 @@ def forex_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forex(spark, sf_dir).select(F.from_json(document, FOREX_DOCUMENT).alias("d")).select("d.*")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents: (doc_id, text, source)."""
+    return table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+
+
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents: (doc_id, text, source, label)."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")

@@ -34,7 +34,7 @@ TRADES = """trades AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)"""
 
 FIRST = TRADES + """, first_rows AS (
-  SELECT * FROM (SELECT t.*, row_number() OVER (PARTITION BY contract_id
+  SELECT * FROM (SELECT t.*, row_number() OVER (PARTITION BY contract_id, trade_date
     ORDER BY trade_date, l_partkey, l_suppkey, quantity, total_amount, l_discount, l_tax) AS rn FROM trades t) q
   WHERE rn = 1)"""
 
@@ -98,6 +98,8 @@ NEWS = """news AS (
   SELECT d.doc_id, d.text, d.source, CASE WHEN l.quality = 1 THEN 'Real' ELSE 'Fake' END AS label
   FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
 
+TEXTS = "news AS (SELECT doc_id, text, source FROM documents)"
+
 RULED = NEWS + """, ruled AS (
   SELECT doc_id, label, CASE WHEN length(text) % 3 = 0 THEN 'Fake' ELSE 'Real' END AS prediction FROM news)"""
 
@@ -132,6 +134,9 @@ TOKENS = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}_]{{2,}}')"
 WORDS = NEWS + f""", words AS (SELECT doc_id, label, {TOKENS.format(LATIN_CLEAN)} AS w FROM news)"""
 
 
+ALL_WORDS = f"""{TEXTS}, words AS (SELECT doc_id, CAST(NULL AS VARCHAR) AS label, {TOKENS.format(LATIN_CLEAN)} AS w FROM news)"""
+
+
 def _grams(lo: int, hi: int) -> str:
     parts = []
     for n in range(lo, hi + 1):
@@ -141,8 +146,8 @@ def _grams(lo: int, hi: int) -> str:
     return "grams AS (" + " UNION ALL ".join(parts) + ")"
 
 
-def _tf(lo: int = 1, hi: int = 1) -> str:
-    return WORDS + ", " + _grams(lo, hi) + """, tf AS (
+def _tf(lo: int = 1, hi: int = 1, words: str = WORDS) -> str:
+    return words + ", " + _grams(lo, hi) + """, tf AS (
       SELECT doc_id, label, term, count(*) AS tf FROM grams GROUP BY 1, 2, 3)"""
 
 
@@ -383,18 +388,18 @@ ORACLES = {
       SELECT round(avg(e * e), 1) AS mse, round(sqrt(avg(e * e)), 4) AS rmse, round(avg(abs(e)), 4) AS mae,
         round(1.0 - avg(e * e) / var_pop(y), 6) AS r2 FROM e""",
     "d15_dedupe": f"WITH {FIRST} SELECT {TRADE} FROM first_rows",
-    "d17_term_stats": f"WITH {_tf(1, 2)}{STATS} SELECT term, df, freq FROM stats",
-    "f2_head": f"WITH {NEWS} SELECT doc_id, source, label FROM news ORDER BY doc_id LIMIT 5",
+    "d17_term_stats": f"WITH {_tf(1, 2, ALL_WORDS)}{STATS} SELECT term, df, freq FROM stats",
+    "f2_head": f"WITH {TEXTS} SELECT doc_id, source, text FROM news ORDER BY doc_id LIMIT 5",
     "f3_first_links": _links() + " QUALIFY pos < 3",
-    "f5_shuffle": f"WITH {NEWS} SELECT doc_id, label, {_hash('doc_id')} AS place FROM news",
-    "f6_top_terms": f"WITH {_tf()}{STATS} SELECT term, df, freq FROM stats ORDER BY freq DESC, term LIMIT 500",
+    "f5_shuffle": f"WITH {TEXTS} SELECT doc_id, source, {_hash('doc_id')} AS place FROM news",
+    "f6_top_terms": f"WITH {_tf(words=ALL_WORDS)}{STATS} SELECT term, df, freq FROM stats ORDER BY freq DESC, term LIMIT 500",
     "f7_top_class_terms": f"""WITH {_tf(1, 2)}{STATS}{_weights()}{_model()},
         r AS (SELECT term, label, round(log_prob, 6) AS log_prob FROM model)
       SELECT label, CAST(rank AS INTEGER) AS rank, term, log_prob FROM (
         SELECT *, row_number() OVER (PARTITION BY label ORDER BY log_prob DESC, term) AS rank FROM r) q WHERE rank <= 20""",
     "g1_concat_frames": f"""WITH {NEWS} SELECT doc_id, source, label, CAST(NULL AS INTEGER) AS n_chars FROM news WHERE label = 'Real'
       UNION ALL SELECT doc_id, NULL, label, CAST(length(text) AS INTEGER) FROM news WHERE label = 'Fake'""",
-    "h11_clean_text": f"""WITH {NEWS} SELECT doc_id, regexp_replace(text, '[^{LATIN}{WS}]', '', 'g') AS basic,
+    "h11_clean_text": f"""WITH {TEXTS} SELECT doc_id, regexp_replace(text, '[^{LATIN}{WS}]', '', 'g') AS basic,
       {LATIN_CLEAN} AS cleaned FROM news""",
     "h11_clean_devanagari": f"SELECT doc_id, {NEPALI_CLEAN} AS cleaned FROM documents",
     "m1_clean_text_sql": f"SELECT doc_id, {NEPALI_CLEAN} AS cleaned FROM documents",
@@ -403,13 +408,13 @@ ORACLES = {
     "h21_details": f"""WITH {FACT} SELECT trade_date, buyer_broker, seller_broker, symbol,
       strftime(trade_date, '%Y/%m/%d') AS folder,
       concat('Volume: ', CAST(total_volume AS VARCHAR), ' Amount: NRs.', CAST(total_amount AS VARCHAR)) AS details FROM fact""",
-    "h24_prefix": f"WITH {NEWS} SELECT doc_id, substr(text, 1, 50) AS prefix FROM news",
-    "i3_tokens": f"""WITH {NEWS}, t AS (SELECT doc_id, {TOKENS.format('text')} AS w FROM news)
+    "h24_prefix": f"WITH {TEXTS} SELECT doc_id, substr(text, 1, 50) AS prefix FROM news",
+    "i3_tokens": f"""WITH {TEXTS}, t AS (SELECT doc_id, {TOKENS.format('text')} AS w FROM news)
       SELECT doc_id, CAST(i - 1 AS INTEGER) AS pos, w[i] AS token FROM (SELECT *, unnest(generate_series(1, len(w))) AS i FROM t)""",
-    "i4_ngrams": f"WITH {_tf(1, 3)} SELECT doc_id, term, tf FROM tf",
-    "i5_tfidf": f"""WITH {_tf()}{STATS}{_weights(keep="SELECT term, df FROM stats WHERE df <= CAST(0.7 AS DOUBLE) * (SELECT count(*) FROM words)")}
+    "i4_ngrams": f"WITH {_tf(1, 3, ALL_WORDS)} SELECT doc_id, term, tf FROM tf",
+    "i5_tfidf": f"""WITH {_tf(words=ALL_WORDS)}{STATS}{_weights(keep="SELECT term, df FROM stats WHERE df <= CAST(0.7 AS DOUBLE) * (SELECT count(*) FROM words)")}
       SELECT doc_id, term, round(weight, 6) AS weight FROM weights""",
-    "i5_tfidf_capped": f"""WITH {_tf(1, 3)}{STATS}{_weights(keep=CAPPED)}
+    "i5_tfidf_capped": f"""WITH {_tf(1, 3, ALL_WORDS)}{STATS}{_weights(keep=CAPPED)}
       SELECT doc_id, term, round(weight, 6) AS weight FROM weights""",
     "i6_split": f"WITH {NEWS} SELECT doc_id, label, CASE WHEN {_hash('doc_id')} < {TEST_LIMIT} THEN 'test' ELSE 'train' END AS part FROM news",
     "i7_balance": f"""WITH {NEWS}, ranked AS (SELECT doc_id, source, label,

@@ -53,18 +53,18 @@ def a2_floorsheet_roundtrip(spark, d):
 
 def b1_forex_unnest(spark, d):
     flat = silver.flatten_forex(fx.forex_documents(spark, d))
-    return flat.select("raw_date", F.col("rate.currency.iso3").alias("iso3"), F.col("rate.currency.name").alias("name"),
-                       F.col("rate.buy").alias("buy"), F.col("rate.sell").alias("sell"))
+    return flat.select(F.col("of_day").alias("raw_date"), F.col("entry.currency.iso3").alias("iso3"), F.col("entry.currency.name").alias("name"),
+                       F.col("entry.buy").alias("buy"), F.col("entry.sell").alias("sell"))
 
 
 def b2_trades_unnest(spark, d):
     flat = silver.flatten_trades(fx.floorsheet_documents(spark, d))
-    return flat.select("payload_date", F.col("trade.contract_id").alias("contract_id"),
-                       F.col("trade.symbol").alias("symbol"), F.col("trade.quantity").alias("quantity"))
+    return flat.select(F.col("of_day").alias("payload_date"), F.col("entry.contract_id").alias("contract_id"),
+                       F.col("entry.symbol").alias("symbol"), F.col("entry.quantity").alias("quantity"))
 
 
 def d15_dedupe(spark, d):
-    return keyed.dedupe(fx.raw_trades(spark, d), ["contract_id"], list(fx.TRADE_ORDER)).select(*TRADE_COLUMNS)
+    return keyed.dedupe(fx.raw_trades(spark, d), TRADE_KEYS, list(fx.TRADE_ORDER)).select(*TRADE_COLUMNS)
 
 
 # --- matrix and wash trades ----------------------------------------------------------------------
@@ -276,7 +276,7 @@ def d13_regression_report(spark, d):
 
 
 def f2_head(spark, d):
-    return frames.head(fx.news(spark, d).select("doc_id", "source", "label"), ["doc_id"], 5)
+    return frames.head(fx.texts(spark, d).select("doc_id", "source", "text"), ["doc_id"], 5)
 
 
 def g1_concat_frames(spark, d):
@@ -295,8 +295,8 @@ def i7_balance(spark, d):
 
 
 def f5_shuffle(spark, d):
-    docs = frames.shuffle(fx.news(spark, d).select("doc_id", "label"), "doc_id")
-    return docs.select("doc_id", "label", keyed_hash(F.col("doc_id"), 42).alias("place"))
+    docs = frames.shuffle(fx.texts(spark, d).select("doc_id", "source"), "doc_id")
+    return docs.select("doc_id", "source", keyed_hash(F.col("doc_id"), 42).alias("place"))
 
 
 def i13_label_encode(spark, d):
@@ -315,7 +315,7 @@ def _devanagari(c: Column) -> Column:
 
 
 def h11_clean_text(spark, d):
-    docs = fx.news(spark, d)
+    docs = fx.texts(spark, d)
     return docs.select("doc_id", txt.clean_basic(F.col("text"), LATIN).alias("basic"), _latin_clean(F.col("text")).alias("cleaned"))
 
 
@@ -342,7 +342,7 @@ def h21_details(spark, d):
 
 
 def h24_prefix(spark, d):
-    return fx.news(spark, d).select("doc_id", txt.prefix(F.col("text")).alias("prefix"))
+    return fx.texts(spark, d).select("doc_id", txt.prefix(F.col("text")).alias("prefix"))
 
 
 def _words(spark, d) -> DataFrame:
@@ -350,26 +350,32 @@ def _words(spark, d) -> DataFrame:
     return docs.select("doc_id", "label", txt.tokens(_latin_clean(F.col("text"))).alias("words"))
 
 
+def _all_words(spark, d) -> DataFrame:
+    """Words of every document, labelled or not."""
+    return fx.texts(spark, d).select("doc_id", F.lit(None).cast("string").alias("label"),
+                                     txt.tokens(_latin_clean(F.col("text"))).alias("words"))
+
+
 def _counts(docs: DataFrame, lo: int = 1, hi: int = 1) -> DataFrame:
     grams = docs.select("doc_id", "label", txt.ngrams(F.col("words"), lo, hi).alias("words"))
     return tfidf.term_counts(grams, "doc_id", "words", carry=("label",))
 
 
 def i3_tokens(spark, d):
-    docs = fx.news(spark, d)
+    docs = fx.texts(spark, d)
     return frames.unnest(docs, ["doc_id"], txt.tokens(F.col("text")), "token", "pos")
 
 
 def i4_ngrams(spark, d):
-    return _counts(_words(spark, d), 1, 3).select("doc_id", "term", "tf")
+    return _counts(_all_words(spark, d), 1, 3).select("doc_id", "term", "tf")
 
 
 def d17_term_stats(spark, d):
-    return tfidf.term_stats(_counts(_words(spark, d), 1, 2))
+    return tfidf.term_stats(_counts(_all_words(spark, d), 1, 2))
 
 
 def f6_top_terms(spark, d):
-    return tfidf.top_terms(tfidf.term_stats(_counts(_words(spark, d))), 500)
+    return tfidf.top_terms(tfidf.term_stats(_counts(_all_words(spark, d))), 500)
 
 
 def _weights(docs: DataFrame, counts: DataFrame, **fit) -> tuple:
@@ -378,13 +384,13 @@ def _weights(docs: DataFrame, counts: DataFrame, **fit) -> tuple:
 
 
 def i5_tfidf(spark, d):
-    docs = _words(spark, d)
+    docs = _all_words(spark, d)
     _, weights = _weights(docs, _counts(docs), max_df=0.7)
     return weights.select("doc_id", "term", _r("weight").alias("weight"))
 
 
 def i5_tfidf_capped(spark, d):
-    docs = _words(spark, d)
+    docs = _all_words(spark, d)
     _, weights = _weights(docs, _counts(docs, 1, 3), max_features=tfidf.VOCABULARY)
     return weights.select("doc_id", "term", _r("weight").alias("weight"))
 
@@ -438,16 +444,9 @@ def i12_linear_text(spark, d):
     return models.predict_text(models.fit_linear(train), test, "doc_id")
 
 
-_FITTED: dict = {}
-
-
 def _sales_model(spark, d, features):
-    """Fit once per session, folder and feature list; the three sales queries share it."""
-    key = (spark.sparkContext.applicationId, d, tuple(features))
-    if key not in _FITTED:
-        train, _ = sampling.split(_sales_rows(spark, d), "row_id")
-        _FITTED[key] = models.fit_sales(train, "item_outlet_sales", features)
-    return _FITTED[key]
+    train, _ = sampling.split(_sales_rows(spark, d), "row_id")
+    return models.fit_sales(train, "item_outlet_sales", features)
 
 
 def _sales_rows(spark, d) -> DataFrame:
@@ -468,7 +467,7 @@ def i14_sales_forest(spark, d):
 
 
 def f4_importances(spark, d):
-    return models.top_importances(_sales_model(spark, d, WIDE), fx.table(spark, d, "nation"))
+    return models.top_importances(_sales_model(spark, d, WIDE), spark)
 
 
 def i16_batch_score(spark, d):

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -26,16 +24,16 @@ def get_session(app: str = "tallyloom", master: str | None = None, **conf: str)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Folder for checkpoints: the one the cluster names, else one of our own in local runs only."""
+    """Folder for checkpoints: the one the cluster names, else one beside the warehouse's tables in local runs."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="tallyloom-checkpoint-")
+        shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     context.setCheckpointDir(shared)
     return shared
 

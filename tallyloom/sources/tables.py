@@ -3,17 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.operators.gold import daily_broker_summary, stage_trades, wash_trades
 from tallyloom.operators.keyed import merge_upsert
-from tallyloom.operators.skew import bounded
 from tallyloom.session import cut_lineage
 from tallyloom.sources.bronze import read_or_none
 
-DAY_LIMIT = 100_000
-
 
 def ensure_table(spark: SparkSession, name: str, contract: T.StructType, partition: str | None = None) -> None:
     """Create the table of a contract if absent. Parquet does not enforce not-null; the quality checks do."""
@@ -52,8 +48,8 @@ def overwrite_days(df: DataFrame, path: str, day: str = "trade_date", sort: str
 
 def days_of(table: DataFrame, updates: DataFrame, day: str = "trade_date") -> DataFrame:
     """Rows of ``table`` on the days present in ``updates``; other day folders are pruned at run time."""
-    days = bounded(updates.select(day).distinct(), DAY_LIMIT, "days in one update")
-    return table.join(F.broadcast(days), day, "left_semi").select(*table.columns)
+    days = updates.select(day).distinct()
+    return table.join(days, day, "left_semi").select(*table.columns)
 
 
 def merge_days(updates: DataFrame, path: str, keys, contract: T.StructType, day: str = "trade_date",

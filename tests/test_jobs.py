@@ -83,3 +83,71 @@ def test_create_table(spark):
 def test_jdbc_options():
     made = jdbc.jdbc_options("jdbc:x", {"user": "u"}, dbtable="t", numPartitions=4, lowerBound=None)
     assert made == {"url": "jdbc:x", "user": "u", "dbtable": "t", "numPartitions": "4"}
+
+
+def land_trades(spark, root, day, trades, dated=None):
+    """One document landed on ``day`` whose trades are (contract, quantity); ``dated`` is the date it states."""
+    rows = [(c, "ABC", "1", "2", str(q), "10", "100.5", "11:00") for c, q in trades]
+    doc = spark.createDataFrame([("SUCCESS", dated or day, rows)], K.FLOORSHEET_DOCUMENT)
+    bronze.land_bronze(doc.withColumn("dt", F.lit(day).cast("date")), root, "floorsheet")
+
+
+def stored_trades(spark, root):
+    table = tables.read_table(spark, daily.table_paths(root)["trades"], K.TRADES)
+    return {(r["contract_id"], str(r["trade_date"])) for r in table.collect()}
+
+
+def test_late_document_keeps_stored_trades(spark, tmp_path):
+    root = str(tmp_path)
+    land_trades(spark, root, "2026-01-07", [("a", 5), ("b", 6)])
+    daily.run_day(spark, "2026-01-07", root)
+    land_trades(spark, root, "2026-01-08", [("late", 7)], dated="2026-01-07")
+    daily.run_day(spark, "2026-01-08", root)
+    assert stored_trades(spark, root) == {(c, "2026-01-07") for c in ("a", "b", "late")}
+    assert [r["trade_count"] for r in fact_rows(spark, root).collect()] == [3]
+
+
+def test_late_day_reaches_matrix(spark, tmp_path):
+    root = str(tmp_path)
+    for day in ("2026-01-05", "2026-01-07", "2026-01-06"):
+        land_trades(spark, root, day, [(f"c{day}", 5)])
+        daily.run_day(spark, day, root)
+    before = sorted(map(tuple, fact_rows(spark, root).collect()))
+    assert [str(r[0]) for r in fact_rows(spark, root).select("trade_date").orderBy("trade_date").collect()] == ["2026-01-05", "2026-01-06", "2026-01-07"]
+    daily.run_day(spark, "2026-01-06", root)
+    assert sorted(map(tuple, fact_rows(spark, root).collect())) == before
+
+
+def test_rejected_rows(spark, tmp_path):
+    root = str(tmp_path)
+    good = ("ok", "ABC", "1", "2", "5", "10", "100", "11:00")
+    bad = [("no_symbol", None, "1", "2", "5", "10", "100", "x"), ("no_amount", "ABC", "1", "2", "5", "10", "n/a", "x"), ("below", "ABC", "1", "2", "5", "-1", "100", "x")]
+    doc = spark.createDataFrame([("SUCCESS", "2026-01-05", [good, *bad])], K.FLOORSHEET_DOCUMENT)
+    bronze.land_bronze(doc.withColumn("dt", F.lit("2026-01-05").cast("date")), root, "floorsheet")
+    for _ in range(2):
+        daily.run_day(spark, "2026-01-05", root)
+        assert stored_trades(spark, root) == {("ok", "2026-01-05")}
+        reasons = sorted(r["reasons"] for r in spark.read.parquet(daily.table_paths(root)["rejected"]).collect())
+        assert reasons == ["rate_not_negative", "symbol_missing", "total_amount_missing"]
+
+
+def test_links_as_a_parser_sees_them(spark):
+    from tallyloom.functions.html import page_hrefs
+    page = """<a data-href="x" href="y">1</a><A class=b HREF='q&amp;r'>2</A><a href=bare>3</a><a data-href="no">4</a><abbr href="z">5</abbr><a title="t" href = "a b">6</a>"""
+    df = spark.createDataFrame([(page,)], "html string")
+    assert df.select(page_hrefs(F.col("html"))).first()[0] == ["y", "q&r", "bare", "a b"]
+
+
+@pytest.mark.parametrize("n", [300, 512, 600, 25_600])
+def test_every_tree_gets_its_sample(spark, n):
+    from tallyloom.operators.isolation import _sampled
+    rows = spark.range(n).select(F.lit(1).alias("day"), F.xxhash64("id").alias("_id"), F.lit(n).alias("_n"), F.col("id").cast("double").alias("v"))
+    rows = rows.withColumn("_draw", F.shiftrightunsigned(F.xxhash64("_id", F.lit("draw")), 32))
+    sizes = {r["_tree"]: r["count"] for r in _sampled(rows, "day", 100, 256).groupBy("_tree").count().collect()}
+    assert sizes == {t: 256 for t in range(100)}
+
+
+def test_many_values_are_encoded(spark):
+    from tallyloom.operators import encode
+    encoded, codes = encode.label_encode(spark.range(120_000).select(F.col("id").cast("string").alias("v")), ["v"])
+    assert encoded.agg(F.max("v"), F.countDistinct("v")).first() == (119_999, 120_000)

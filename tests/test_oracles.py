@@ -21,7 +21,7 @@ def test_same_as_sql(spark, con, small, name):
 def test_entry(spark):
     rows = entry_points.entry(spark).collect()
     amounts = [r["aggregate_matched_amount"] for r in rows]
-    assert len(rows) == 45 and amounts == sorted(amounts, reverse=True)
+    assert len(rows) == 84 and amounts == sorted(amounts, reverse=True)
 
 
 def test_names():
