@@ -24,7 +24,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -151,9 +151,10 @@ def _signed(x: int) -> int:
 
 
 def members(fps: DataFrame, parts: list[tuple[list[int], int]]) -> DataFrame:
-    """(part, at, fp, own): each fingerprint under its own key of every part and under those it probes.
+    """(at, fp): each fingerprint under its own key of every part and under those it probes.
 
-    Of two fingerprints one probes the other: the one whose lowest differing bit in the part is 0.
+    Of two fingerprints one probes the other: the one whose lowest differing bit in the part is 0. ``at`` is a hash of part
+    and key; keys that share a hash only make more candidates, which are verified.
     """
     rows = []
     for i, (bits, t) in enumerate(parts):
@@ -164,12 +165,49 @@ def members(fps: DataFrame, parts: list[tuple[list[int], int]]) -> DataFrame:
     probes = F.expr("array(" + ",".join(f"struct({i} as part, {_signed(m)}L as mask, {_signed(f)}L as flip, {_signed(low)}L as low)"
                                         .replace("-9223372036854775808L", "(-9223372036854775807L - 1L)") for i, m, f, low in rows) + ")")
     one = fps.select("fp", F.explode(probes).alias("p")).filter(F.col("fp").bitwiseAND(F.col("p.low")) == 0)
-    return one.select(F.col("p.part").alias("part"), F.col("fp").bitwiseAND(F.col("p.mask")).bitwiseXOR(F.col("p.flip")).alias("at"),
-                      "fp", (F.col("p.flip") == 0).alias("own"))
+    return one.select(F.xxhash64("p.part", F.col("fp").bitwiseAND(F.col("p.mask")).bitwiseXOR(F.col("p.flip"))).alias("at"), "fp")
 
 
-def _distance(a: Column, b: Column) -> Column:
-    return F.bit_count(a.bitwiseXOR(b))
+def _near_pairs(radius: int, crowd: int):
+    """(a, b) within ``radius`` bits among the members of each key of a partition sorted by key; (fp, null) per crowd member.
+
+    At most ``crowd`` members of a key that goes on in the next batch are held.
+    """
+    def found(key: np.ndarray, fp: np.ndarray, in_crowd: np.ndarray):
+        a, b = [fp[in_crowd]], [np.zeros(int(in_crowd.sum()), dtype=np.int64)]
+        key, fp = key[~in_crowd], fp[~in_crowd]
+        for k in range(1, crowd):  # members k places apart
+            same = np.flatnonzero(key[:-k] == key[k:])
+            if not len(same):
+                break
+            x, y = fp[same], fp[same + k]
+            near = (np.bitwise_count((x ^ y).view(np.uint64)) <= radius) & (x != y)
+            a.append(np.maximum(x, y)[near])
+            b.append(np.minimum(x, y)[near])
+        first, second = np.concatenate(a), np.concatenate(b)
+        alone = np.arange(len(first)) < len(a[0])
+        return pa.RecordBatch.from_arrays([pa.array(first), pa.array(second, mask=alone)], names=["a", "b"])
+
+    def batches(source):
+        key, fp, crowded = np.empty(0, np.int64), np.empty(0, np.int64), None
+        for batch in source:
+            key = np.concatenate([key, batch.column(0).to_numpy(zero_copy_only=False)])
+            fp = np.concatenate([fp, batch.column(1).to_numpy(zero_copy_only=False)])
+            if not len(key):
+                continue
+            starts = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1])
+            sizes = np.diff(np.append(starts, len(key)))
+            many = (sizes > crowd) | (key[starts] == crowded if crowded is not None else False)
+            if many[-1]:  # a known crowd need not be held
+                crowded, cut = key[-1], len(key)
+            else:
+                crowded, cut = None, starts[-1]
+            yield found(key[:cut], fp[:cut], np.repeat(many, sizes)[:cut])
+            key, fp = key[cut:], fp[cut:]
+        if len(key):
+            yield found(key, fp, np.zeros(len(key), dtype=bool))
+
+    return batches
 
 
 def crowd_links(fps: DataFrame) -> DataFrame:
@@ -185,19 +223,12 @@ def links(fps: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame
     """Links (a, b) between distinct fingerprints that connect all those within ``radius`` bits."""
     n = fps.count()
     filed = members(fps, allocation(bit_counts(fps), n, radius))
-    crowded = cut_lineage(filed.groupBy("part", "at").count().filter(F.col("count") > crowd).select("part", "at"))
-    calm = filed.join(crowded, ["part", "at"], "left_anti") if crowded.limit(1).count() else filed
-    groups = (calm.groupBy("part", "at").agg(F.collect_list(F.struct("fp", "own")).alias("m"))  # at most ``crowd`` members
-              .filter("size(m) > 1"))
-    pairs = groups.select(F.explode("m").alias("x"), F.filter("m", lambda y: y["own"]).alias("m")).select(
-        F.col("x.fp").alias("a"), F.explode(F.transform(F.filter("m", lambda y: (y["fp"] != F.col("x.fp")) & (
-            _distance(y["fp"], F.col("x.fp")) <= radius)), lambda y: y["fp"])).alias("b"))
-    pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    if not crowded.limit(1).count():
+    found = cut_lineage(filed.repartition("at").sortWithinPartitions("at", "fp").mapInArrow(_near_pairs(radius, crowd), "a long, b long"))
+    pairs, dense = found.filter("b is not null"), found.filter("b is null").select(F.col("a").alias("fp")).distinct()
+    if not dense.limit(1).count():
         return pairs
     if radius != 4:
         raise ValueError("the way for crowds is made for a radius of 4")
-    dense = filed.join(crowded, ["part", "at"], "left_semi").select("fp").distinct()
     return pairs.unionByName(crowd_links(cut_lineage(dense)))
 
 
