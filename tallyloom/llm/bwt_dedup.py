@@ -10,7 +10,7 @@ A byte goes if a string of ``LENGTH`` bytes that covers it also starts in a docu
    each segment inserts one more symbol, from its last to its first, by one stable distribution of the suffixes before
    by that symbol. Neighbours in the order that share ``LENGTH`` bytes are a class, and the class has a smallest document.
    The rounds are as many as a segment is long, at most ``2 * LENGTH``; the inputs are sorted shuffle files read in
-   sequence, ``BATCH`` bytes at a time and whole anchors together.
+   sequence, ``BATCH`` bytes at a time and whole anchors together. Anchors with one segment need no order.
 4. Runs of bytes to remove go back to the documents.
 
 Long texts need no long rounds, since segments are short. An anchor occurs in a document at most once per segment kind,
@@ -39,8 +39,10 @@ SPAN = LENGTH - GRAM + 1  # anchors that a string chooses from
 PLACE_BITS = 17
 CHUNK = (1 << PLACE_BITS) - 2 * LENGTH
 HASH_BITS = 48
-BATCH = 4 << 20
-BUCKETS_PER_PARTITION = 4
+BATCH = 1 << 20
+BUCKETS_PER_PARTITION = 8
+DOCS_AT_ONCE = 2500
+NO_ID = -(1 << 63)
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -115,7 +117,7 @@ def _anchor_rows(buckets: int):
         for batch in source:
             hashes, owners = [], []
             for i, (key, data) in enumerate(zip(batch.column(0), batch.column(1))):
-                if key.is_valid:
+                if key.as_py() != NO_ID:
                     h = np.unique(anchor_runs(data.as_py())[0])
                     hashes.append(h.astype(np.int64))
                     owners.append(np.full(len(h), key.as_py(), dtype=np.int64))
@@ -124,7 +126,7 @@ def _anchor_rows(buckets: int):
             h, d = np.concatenate(hashes), np.concatenate(owners)
             order = np.lexsort((d, h))
             h, d = h[order], d[order]
-            bucket = h * buckets >> HASH_BITS if buckets < 1 << 15 else h >> 33
+            bucket = _bucket(h, buckets)
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(h)]])
             rows = []
             for a, b in zip(cuts[:-1], cuts[1:]):
@@ -167,21 +169,60 @@ def _shared_anchors(source):
         yield from shared(parts)
 
 
-def _segment_rows(source):
-    """(anchor, segment, doc, at): the bytes that the strings of a shared anchor cover."""
-    for batch in source:
-        anchors, segments, docs, places = [], [], [], []
-        for key, data, mine in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-            data = data.as_py()
-            h, first, last = anchor_runs(data)
-            shared = np.isin(h.astype(np.int64), mine.values.to_numpy(zero_copy_only=False))
-            for x, a, b in zip(h[shared].tolist(), first[shared].tolist(), last[shared].tolist()):
-                anchors.append(x)
-                segments.append(data[a:b + LENGTH])
-                docs.append(key)
-                places.append(a)
-        yield pa.RecordBatch.from_arrays([pa.array(anchors, pa.int64()), pa.array(segments, pa.binary()), pa.array(docs, pa.int64()), pa.array(places, pa.int64())],
-                                         names=["anchor", "segment", "doc", "at"])
+SEGMENTS = "bucket long, first long, low long, anchors binary, sizes binary, docs binary, places binary, segments binary"
+
+
+def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
+    return h * buckets >> HASH_BITS if buckets < 1 << 15 else h >> HASH_BITS - 15
+
+
+def _segment_rows(buckets: int):
+    """The bytes that the strings of each shared anchor cover: (anchor, segment, doc, place) packed by bucket of the anchor."""
+    def batches(source):
+        import zstandard
+
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        for batch in (whole.slice(at, DOCS_AT_ONCE) for whole in source for at in range(0, whole.num_rows, DOCS_AT_ONCE)):
+            anchors, segments, docs, places = [], [], [], []
+            for key, data, mine in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                data = data.as_py()
+                h, first, last = anchor_runs(data)
+                shared = np.isin(h.astype(np.int64), mine.values.to_numpy(zero_copy_only=False))
+                anchors.append(h[shared].astype(np.int64))
+                docs.append(np.full(int(shared.sum()), key, dtype=np.int64))
+                places.append(first[shared])
+                segments += [data[a:b] for a, b in zip(first[shared].tolist(), (last[shared] + LENGTH).tolist())]
+            if not segments:
+                continue
+            h, d, p = np.concatenate(anchors), np.concatenate(docs), np.concatenate(places)
+            order = np.argsort(h, kind="stable")
+            h, d, p = h[order], d[order], p[order]
+            bucket = _bucket(h, buckets)
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(h)]])
+            rows = []
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                part = [segments[i] for i in order[a:b]]
+                low = int(d[a:b].min())
+                rows.append((int(bucket[a]), int(h[a]), low, _pack(np.diff(h[a:b], prepend=h[a])), _pack(np.fromiter(map(len, part), np.int64, len(part))),
+                             _pack(d[a:b] - low), _pack(p[a:b]), squeeze(b"".join(part))))
+            kinds = [pa.int64()] * 3 + [pa.binary()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), kinds)], names=[x.split()[0] for x in SEGMENTS.split(", ")])
+
+    return batches
+
+
+def _segments_of(bucket: list[dict]):
+    """[(anchor, segment, doc, place)] of one bucket, sorted."""
+    import zstandard
+
+    rows = []
+    for part in bucket:
+        data = zstandard.ZstdDecompressor().decompress(part["segments"])
+        edges = np.concatenate([[0], np.cumsum(_unpack(part["sizes"]))]).tolist()
+        segments = [data[a:b] for a, b in zip(edges, edges[1:])]
+        rows += zip((np.cumsum(_unpack(part["anchors"])) + part["first"]).tolist(), segments, (_unpack(part["docs"]) + part["low"]).tolist(), _unpack(part["places"]).tolist())
+    rows.sort()
+    return rows
 
 
 def suffix_order(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -203,12 +244,12 @@ def smallest_owner(segments: list[bytes], owners: np.ndarray) -> list[np.ndarray
 
     Places of different segments never overlap: each has one place more than symbols, for its empty suffix.
     """
-    sizes = np.fromiter(map(len, segments), np.int64, len(segments))
+    sizes = np.fromiter(map(len, segments), np.int32, len(segments))
     text = np.frombuffer(b"\0".join(segments) + b"\0", dtype=np.uint8)
-    starts = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
+    starts = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]]).astype(np.int32)
     ends = starts + sizes
     order = suffix_order(text, starts, ends)
-    owner_of = np.repeat(np.arange(len(segments)), sizes + 1)
+    owner_of = np.repeat(np.arange(len(segments), dtype=np.int32), sizes + 1)
     whole = order[ends[owner_of[order]] - order >= LENGTH]
     windows = np.lib.stride_tricks.sliding_window_view(text, LENGTH)
     same = np.zeros(len(whole), dtype=bool)
@@ -222,49 +263,78 @@ def smallest_owner(segments: list[bytes], owners: np.ndarray) -> list[np.ndarray
     return [at_place[a:b - LENGTH + 1] for a, b in zip(starts, ends)]
 
 
-def _removed_runs(source):
-    """(doc, from, to): bytes to remove, of segments sorted by anchor, segment and document."""
-    segments, lowest, spans, docs, places, held = [], [], [], [], [], 0
-    last = (None, None)
-
-    def flush():
-        smallest = smallest_owner(segments, np.array(lowest, dtype=np.int64))
-        rows = ([], [], [])
-        stops = [*spans[1:], len(docs)]
-        d, p = np.array(docs, dtype=np.int64), np.array(places, dtype=np.int64)
-        for low, a, b in zip(smallest, spans, stops):
-            if low.min() >= d[b - 1]:
-                continue
-            if low.min() == low.max():  # one smallest owner for the whole segment
-                for i in range(a + int(np.searchsorted(d[a:b], low[0], side="right")), b):
-                    rows[0].append(d[i])
-                    rows[1].append(p[i])
-                    rows[2].append(p[i] + len(low) - 1 + LENGTH)
+class _Runs:
+    """Byte runs to remove, as three columns."""
+
+    def __init__(self):
+        self.doc: list[int] = []
+        self.start: list[int] = []
+        self.stop: list[int] = []
+
+    def add(self, low: np.ndarray, owners: list[tuple[int, int]]) -> None:
+        """``low``: the smallest owner of each string of a segment; ``owners``: (doc, place) of the segment, in order."""
+        whole = low[0] if (low == low[0]).all() else None
+        for doc, place in owners:
+            if whole is not None:
+                if whole < doc:
+                    self.doc.append(doc)
+                    self.start.append(place)
+                    self.stop.append(place + len(low) - 1 + LENGTH)
                 continue
-            for i in range(a, b):
-                turn = np.flatnonzero(np.diff(np.concatenate([[0], (low < d[i]).view(np.int8), [0]])))
-                for x, y in zip(turn[::2], turn[1::2]):
-                    rows[0].append(d[i])
-                    rows[1].append(p[i] + x)
-                    rows[2].append(p[i] + y - 1 + LENGTH)
-        return pa.RecordBatch.from_arrays([pa.array(r, pa.int64()) for r in rows], names=["doc", "from", "to"])
+            turn = np.flatnonzero(np.diff(np.concatenate([[0], (low < doc).view(np.int8), [0]])))
+            for x, y in zip(turn[::2].tolist(), turn[1::2].tolist()):
+                self.doc.append(doc)
+                self.start.append(place + x)
+                self.stop.append(place + y - 1 + LENGTH)
 
-    for batch in source:
-        for anchor, segment, doc, at in zip(*[c.to_pylist() for c in batch.columns]):
-            if anchor != last[0] and held > BATCH:
-                yield flush()
-                segments, lowest, spans, docs, places, held = [], [], [], [], [], 0
-            if (anchor, segment) != last or not segments:
-                last = (anchor, segment)
+    def batch(self) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (self.doc, self.start, self.stop)], names=["doc", "from", "to"])
+
+
+def _removed_runs(source):
+    """(doc, from, to): bytes to remove, of packed segments sorted by bucket.
+
+    Where all segments of an anchor are equal, their smallest document owns all their strings; the others need the order.
+    """
+    def runs_of(bucket: list[dict]):
+        rows, out = _segments_of(bucket), _Runs()
+        segments, owners, held, i = [], [], 0, 0
+        while i < len(rows):
+            anchor, groups = rows[i][0], []
+            while i < len(rows) and rows[i][0] == anchor:
+                segment, mine = rows[i][1], []
+                while i < len(rows) and rows[i][1] == segment and rows[i][0] == anchor:
+                    mine.append(rows[i][2:])
+                    i += 1
+                groups.append((segment, mine))
+            if len(groups) == 1:
+                out.add(np.full(len(groups[0][0]) - LENGTH + 1, groups[0][1][0][0]), groups[0][1])
+                continue
+            for segment, mine in groups:
                 segments.append(segment)
-                lowest.append(doc)
-                spans.append(len(docs))
+                owners.append(mine)
                 held += len(segment)
-            docs.append(doc)
-            places.append(at)
-            held += 16
-    if segments:
-        yield flush()
+            if held > BATCH or i == len(rows):
+                settle(segments, owners, out)
+                segments, owners, held = [], [], 0
+        settle(segments, owners, out)
+        return out.batch()
+
+    def settle(segments: list[bytes], owners: list[list[tuple[int, int]]], out: _Runs) -> None:
+        if segments:
+            for low, mine in zip(smallest_owner(segments, np.array([m[0][0] for m in owners], dtype=np.int64)), owners):
+                out.add(low, mine)
+
+    bucket, parts = None, []
+    for batch in source:
+        for row in batch.to_pylist():
+            if row["bucket"] != bucket and parts:
+                yield runs_of(parts)
+                parts = []
+            bucket = row["bucket"]
+            parts.append(row)
+    if parts:
+        yield runs_of(parts)
 
 
 def _kept(source):
@@ -290,23 +360,28 @@ def _kept(source):
                                          names=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
+def _bytes_of(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("doc"), F.encode(text_of(text), "UTF-8").alias("data"))
+
+
 def removed_runs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, from, to): byte runs to remove; runs may overlap."""
-    spark = docs.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(key).cast("long").alias("doc"), F.encode(text_of(text), "UTF-8").alias("data"))
-    packed = rows.mapInArrow(_anchor_rows(BUCKETS_PER_PARTITION * partitions), "bucket long, first long, low long, hashes binary, docs binary")
+    buckets = BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = _bytes_of(docs, key, text)
+    packed = rows.mapInArrow(_anchor_rows(buckets), "bucket long, first long, low long, hashes binary, docs binary")
     shared = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_shared_anchors, "doc long, hashes array<long>")
     mine = shared.groupBy("doc").agg(F.flatten(F.collect_list("hashes")).alias("hashes"))  # bounded by the document
-    cut = rows.join(mine, "doc").select("doc", "data", "hashes").mapInArrow(_segment_rows, "anchor long, segment binary, doc long, at long")
-    return (cut.repartition("anchor").sortWithinPartitions("anchor", "segment", "doc", "at")
-            .mapInArrow(_removed_runs, "doc long, from long, to long"))
+    cut = rows.join(mine, "doc").select("doc", "data", "hashes").mapInArrow(_segment_rows(buckets), SEGMENTS)
+    return cut.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_removed_runs, "doc long, from long, to long")
 
 
 def op7_suffix_dedup(docs: DataFrame) -> DataFrame:
-    """One row per document: its bytes, those removed, the runs they form, and a digest of the rest."""
+    """One row per document: its bytes, those removed, the runs they form, and a digest of the rest.
+
+    Both joins deal the texts out by document, so Spark does it once.
+    """
     runs = removed_runs(docs).groupBy("doc").agg(F.collect_list(F.struct("from", "to")).alias("runs"))  # bounded by the document
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc"), F.encode(text_of("text"), "UTF-8").alias("data"))
+    rows = _bytes_of(docs, "doc_id", "text")
     return (rows.join(runs, "doc", "left").select("doc", "data", "runs")
             .mapInArrow(_kept, "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-            .withColumnRenamed("doc", "doc_id"))
+            .select(F.nullif("doc", F.lit(NO_ID)).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256"))
