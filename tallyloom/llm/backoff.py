@@ -41,10 +41,11 @@ def _counter(vocabulary: str):
     """Distinct n-grams of each block of a partition sorted by block; single tokens under the keys below zero."""
     def batches(source):
         encode = Encoder(vocabulary)
-        block, parts = None, []
+        block, parts, alone = None, [], []
         single = np.zeros(IDS, dtype=np.int64)
 
         def table():
+            single[:] += np.bincount(np.concatenate(alone), minlength=IDS)
             keys, counts = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.empty(0, np.int64),) * 2
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), block, np.int64)), pa.array(keys.astype(np.int64)), pa.array(counts.astype(np.int64))],
                                               names=["block", "gram", "n"])
@@ -52,14 +53,14 @@ def _counter(vocabulary: str):
         for batch in source:
             for here, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if here != block:
-                    if parts:
+                    if alone:
                         yield table()
-                    block, parts = here, []
+                    block, parts, alone = here, [], []
                 ids = np.frombuffer(encode(text.as_py() or ""), dtype="<u4")
-                single += np.bincount(ids, minlength=IDS)
+                alone.append(ids)
                 if len(ids) > 1:
                     parts.append(_bigrams(ids))
-        if parts:
+        if alone:
             yield table()
         seen = np.flatnonzero(single)
         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(seen), SINGLE, np.int64)), pa.array(-1 - seen), pa.array(single[seen])], names=["block", "gram", "n"])
@@ -67,27 +68,23 @@ def _counter(vocabulary: str):
     return batches
 
 
-def document_score(ids: np.ndarray, grams: np.ndarray, totals: np.ndarray, single: np.ndarray) -> tuple[float, int]:
-    """(sum of log scores, bigrams found elsewhere) of one document, its own counts taken off."""
+def document_score(ids: np.ndarray, grams: np.ndarray, totals: np.ndarray, single: np.ndarray, size: int) -> tuple[float, int]:
+    """(sum of log scores, bigrams found elsewhere) of one document, its own counts taken off; ``size``: all tokens."""
     n = len(ids)
     if not n:
         return 0.0, 0
-    own = np.bincount(ids, minlength=IDS)
-    rest = (single - own).astype(np.float64)
-    size = max(rest.sum(), 1.0)
-
-    def alone(w: np.ndarray) -> np.ndarray:
-        c = rest[w]
-        return np.where(c > 0, np.log(np.maximum(c, 1.0) / size), np.log(BACKOFF / size))
-
-    score = float(alone(ids[:1])[0])
+    tokens, place, own = np.unique(ids, return_inverse=True, return_counts=True)
+    rest = (single[tokens] - own).astype(np.float64)
+    others = max(float(size - n), 1.0)
+    alone = np.where(rest > 0, np.log(np.maximum(rest, 1.0) / others), np.log(BACKOFF / others))
+    score = float(alone[place[0]])
     if n == 1:
         return score, 0
-    keys, back, counts = np.unique(_bigrams(ids), return_inverse=True, return_counts=True)
+    keys, first, counts = np.unique(_bigrams(ids), return_index=True, return_counts=True)
     left = totals[np.searchsorted(grams, keys)] - counts
-    v, w = (keys // IDS).astype(np.int64), (keys % IDS).astype(np.int64)
+    v, w = place[first], place[first + 1]
     seen = left > 0
-    each = np.where(seen, np.log(np.maximum(left, 1) / np.maximum(rest[v], 1.0)), np.log(BACKOFF) + alone(w))
+    each = np.where(seen, np.log(np.maximum(left, 1) / np.maximum(rest[v], 1.0)), np.log(BACKOFF) + alone[w])
     return score + float((each * counts).sum()), int(counts[seen].sum())
 
 
@@ -98,13 +95,14 @@ def _scorer(vocabulary: str, single_counts: list[tuple[int, int]]):
         encode = Encoder(vocabulary)
         single = np.zeros(IDS, dtype=np.int64)
         single[tokens] = counts
+        size = int(counts.sum())
         grams, totals = table.column("gram").to_numpy(), table.column("total").to_numpy()
         order = np.argsort(grams)
         grams, totals = grams[order], totals[order]
         rows = []
         for text in docs.column("text"):
             ids = np.frombuffer(encode(text.as_py() or ""), dtype="<u4").astype(np.int64)
-            rows.append((len(ids), *document_score(ids, grams, totals, single)))
+            rows.append((len(ids), *document_score(ids, grams, totals, single, size)))
         n, total, found = (list(x) for x in zip(*rows)) if rows else ([], [], [])
         return pa.table({"key": docs.column("key"), "n_tokens": pa.array(n, pa.int64()), "score_sum": pa.array(total, pa.float64()), "n_found": pa.array(found, pa.int64())})
 
