@@ -152,6 +152,11 @@ def _packer(source):
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), packed, batch.column(3)], names=["page_id", "url", "packed", "digest"])
 
 
+def _one_task_each(files: DataFrame) -> DataFrame:
+    """About one task per file: names are short, so without a count Spark would merge thousands of them into one task."""
+    return files.repartition(max(1, files.count()), "name")
+
+
 def write_archives(pages: DataFrame, folder: str, date: str = DATE, records: int = RECORDS, roll: int = ROLL_BYTES) -> str:
     """Write (page_id, url, html) as archives below ``folder``; gives the folder."""
     rows = pages.select(F.col("page_id").cast("long"), "url", "html", F.sha1(text_of("html")).alias("digest"))
@@ -164,7 +169,7 @@ def write_archives(pages: DataFrame, folder: str, date: str = DATE, records: int
     full = packed.join(placed, known).select(packed["page_id"], "url", "packed", packed["digest"], "shard", "first")
     dealt = full.repartition("shard").sortWithinPartitions("shard", "page_id", "digest", "url")
     written = cut_lineage(dealt.mapInArrow(_writer(folder, date, roll), MANIFEST))
-    moved = cut_lineage(written.repartition("name").mapInArrow(_mover(folder), MANIFEST))
+    moved = cut_lineage(_one_task_each(written).mapInArrow(_mover(folder), MANIFEST))
     moved.select("name", "records", "bytes", "sha256").write.mode("overwrite").json(f"{folder}/manifest")
     return folder
 
@@ -232,7 +237,7 @@ def _read_rows(rows: list[tuple]) -> pa.RecordBatch:
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """One row per page record of the archives that the manifest names, digests checked; html is null for revisits."""
     manifest = spark.read.schema("name string, records long, bytes long, sha256 string").json(f"{folder}/manifest")
-    return manifest.select("name").repartition("name").mapInArrow(_reader(folder), READ_BACK)
+    return _one_task_each(manifest.select("name")).mapInArrow(_reader(folder), READ_BACK)
 
 
 def op8_warc(pages: DataFrame) -> DataFrame:
