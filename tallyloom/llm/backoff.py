@@ -1,6 +1,7 @@
 """Stupid-backoff scores, computed relationally over tokens of a public vocabulary.
 
-Documents are dealt to blocks of about ``BLOCK_DOCS``. A task turns a block into its distinct bigrams with their counts;
+Texts are turned into token ids once (of two bytes: the vocabulary may have up to ``IDS`` entries), which a checkpoint
+keeps. Documents are dealt to blocks of about ``BLOCK_DOCS``. A task turns a block into its distinct bigrams with their counts;
 the count table, partitioned by a hash of the bigram, is the sum over all blocks, and is joined back to the blocks'
 bigrams. A block then meets its part of the count table once more, looks up each document's n-grams and sums their scores.
 
@@ -37,10 +38,20 @@ def _bigrams(ids: np.ndarray) -> np.ndarray:
     return ids[:-1].astype(np.int64) * IDS + ids[1:]
 
 
-def _counter(vocabulary: str):
-    """Distinct n-grams of each block of a partition sorted by block; single tokens under the keys below zero."""
+def _coder(vocabulary: str):
+    """Texts as token ids of two bytes."""
     def batches(source):
         encode = Encoder(vocabulary)
+        for batch in source:
+            ids = [np.frombuffer(encode(x.as_py() or ""), dtype="<u4").astype("<u2").tobytes() for x in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], names=["key", "block", "ids"])
+
+    return batches
+
+
+def _counter():
+    """Distinct n-grams of each block of a partition sorted by block; single tokens under the keys below zero."""
+    def batches(source):
         block, parts, alone = None, [], []
         single = np.zeros(IDS, dtype=np.int64)
 
@@ -51,12 +62,12 @@ def _counter(vocabulary: str):
                                               names=["block", "gram", "n"])
 
         for batch in source:
-            for here, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for here, coded in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if here != block:
                     if alone:
                         yield table()
                     block, parts, alone = here, [], []
-                ids = np.frombuffer(encode(text.as_py() or ""), dtype="<u4")
+                ids = np.frombuffer(coded.as_py(), dtype="<u2")
                 alone.append(ids)
                 if len(ids) > 1:
                     parts.append(_bigrams(ids))
@@ -88,11 +99,10 @@ def document_score(ids: np.ndarray, grams: np.ndarray, totals: np.ndarray, singl
     return score + float((each * counts).sum()), int(counts[seen].sum())
 
 
-def _scorer(vocabulary: str, single_counts: list[tuple[int, int]]):
+def _scorer(single_counts: list[tuple[int, int]]):
     tokens, counts = np.array([t for t, _ in single_counts], np.int64), np.array([c for _, c in single_counts], np.int64)
 
     def score(docs: pa.Table, table: pa.Table) -> pa.Table:
-        encode = Encoder(vocabulary)
         single = np.zeros(IDS, dtype=np.int64)
         single[tokens] = counts
         size = int(counts.sum())
@@ -100,8 +110,8 @@ def _scorer(vocabulary: str, single_counts: list[tuple[int, int]]):
         order = np.argsort(grams)
         grams, totals = grams[order], totals[order]
         rows = []
-        for text in docs.column("text"):
-            ids = np.frombuffer(encode(text.as_py() or ""), dtype="<u4").astype(np.int64)
+        for coded in docs.column("ids"):
+            ids = np.frombuffer(coded.as_py(), dtype="<u2").astype(np.int64)
             rows.append((len(ids), *document_score(ids, grams, totals, single, size)))
         n, total, found = (list(x) for x in zip(*rows)) if rows else ([], [], [])
         return pa.table({"key": docs.column("key"), "n_tokens": pa.array(n, pa.int64()), "score_sum": pa.array(total, pa.float64()), "n_found": pa.array(found, pa.int64())})
@@ -116,14 +126,16 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary:
     # The row's hash deals it out, so a key that many rows hold is many blocks as long as their texts differ.
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).withColumn(
         "block", F.pmod(F.xxhash64("key", F.xxhash64("text")), F.lit(blocks)))
-    dealt = rows.repartition("block")
-    counted = dealt.sortWithinPartitions("block").select("block", "text").mapInArrow(_counter(vocabulary), "block long, gram long, n long")
+    kind = docs.schema[key].dataType.simpleString()
+    coded = cut_lineage(rows.select("key", "block", "text").mapInArrow(_coder(vocabulary), f"key {kind}, block long, ids binary"))
+    dealt = coded.repartition("block")
+    counted = dealt.sortWithinPartitions("block").select("block", "ids").mapInArrow(_counter(), "block long, gram long, n long")
     counted = cut_lineage(counted)
     totals = counted.filter("gram >= 0").groupBy("gram").agg(F.sum("n").alias("total"))
     lookup = counted.filter("gram >= 0").select("block", "gram").join(totals, "gram")
     single = [(-1 - r["gram"], r["n"]) for r in counted.filter("gram < 0").groupBy("gram").agg(F.sum("n").alias("n")).collect()]  # one row per vocabulary entry at most
-    schema = f"key {docs.schema[key].dataType.simpleString()}, n_tokens long, score_sum double, n_found long"
-    return dealt.groupBy("block").cogroup(lookup.groupBy("block")).applyInArrow(_scorer(vocabulary, single), schema)
+    schema = f"key {kind}, n_tokens long, score_sum double, n_found long"
+    return dealt.groupBy("block").cogroup(lookup.groupBy("block")).applyInArrow(_scorer(single), schema)
 
 
 def op5_backoff_scores(docs: DataFrame) -> DataFrame:
