@@ -1,7 +1,7 @@
 """Stupid-backoff scores, computed relationally over tokens of a public vocabulary.
 
-Texts are turned into token ids once (of two bytes: the vocabulary may have up to ``IDS`` entries), which a checkpoint
-keeps. Documents are dealt to blocks of about ``BLOCK_DOCS``. A task turns a block into its distinct bigrams with their counts;
+Texts are turned into token ids once (of two bytes: the vocabulary may have up to ``IDS`` entries), which a written
+table keeps. Documents are dealt to blocks of about ``BLOCK_DOCS``. A task turns a block into its distinct bigrams with their counts;
 the count table, partitioned by a hash of the bigram, is the sum over all blocks, and is joined back to the blocks'
 bigrams. A block then meets its part of the count table once more, looks up each document's n-grams and sums their scores.
 
@@ -23,8 +23,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.llm.common import written
 from tallyloom.llm.packing import VOCABULARY, Encoder
-from tallyloom.session import cut_lineage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -127,10 +127,9 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary:
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).withColumn(
         "block", F.pmod(F.xxhash64("key", F.xxhash64("text")), F.lit(blocks)))
     kind = docs.schema[key].dataType.simpleString()
-    coded = cut_lineage(rows.select("key", "block", "text").mapInArrow(_coder(vocabulary), f"key {kind}, block long, ids binary"))
+    coded = written(rows.select("key", "block", "text").mapInArrow(_coder(vocabulary), f"key {kind}, block long, ids binary"))
     dealt = coded.repartition("block")
-    counted = dealt.sortWithinPartitions("block").select("block", "ids").mapInArrow(_counter(), "block long, gram long, n long")
-    counted = cut_lineage(counted)
+    counted = written(dealt.sortWithinPartitions("block").select("block", "ids").mapInArrow(_counter(), "block long, gram long, n long"))
     totals = counted.filter("gram >= 0").groupBy("gram").agg(F.sum("n").alias("total"))
     lookup = counted.filter("gram >= 0").select("block", "gram").join(totals, "gram")
     single = [(-1 - r["gram"], r["n"]) for r in counted.filter("gram < 0").groupBy("gram").agg(F.sum("n").alias("n")).collect()]  # one row per vocabulary entry at most

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyloom.session import cut_lineage
+from tallyloom.session import cut_lineage, ensure_checkpoint_dir
 
 #: A word is a run of anything but the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -16,6 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written to a compressed table in the shared checkpoint folder and read again; row order may change."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def text_of(c: str | Column) -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
