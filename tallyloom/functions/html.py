@@ -16,6 +16,9 @@ _PARAGRAPH_END = r"(?i)</p\s*>|</article\s*>"
 _ARTICLE_START = r"(?i)<article(?:\s[^>]*)?>"
 _ARTICLE_END = r"(?i)</article\s*>"
 _HREF = r"""(?is)<a(?=\s)[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+_VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
+_DATE_META = rf"""(?is)<meta(?=\s)(?=[^>]*?\sproperty\s*=\s*["']?article:published_time["'\s/>])[^>]*?\scontent\s*=\s*{_VALUE}"""
+_DATE_TIME = rf"(?is)<time(?=\s)[^>]*?\sdatetime\s*=\s*{_VALUE}"
 _QUOTES = r"""^["']|["']$"""
 _ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
@@ -135,8 +138,9 @@ def claim_blocks(html: Column) -> Column:
 
 
 def publish_date(html: Column) -> Column:
-    """Date text from an article meta tag or a ``time`` element, else null."""
-    meta = F.regexp_extract(
-        html, r"""(?is)<meta[^>]*property\s*=\s*["']article:published_time["'][^>]*content\s*=\s*["']([^"']*)["']""", 1)
-    time = F.regexp_extract(html, r"""(?is)<time[^>]*datetime\s*=\s*["']([^"']*)["']""", 1)
-    return F.coalesce(F.nullif(meta, F.lit("")), F.nullif(time, F.lit("")))
+    """Date text from an article meta tag, its attributes in any order, or from a ``time`` element, else null."""
+    def attribute(pattern: str) -> Column:
+        found = F.regexp_extract(html, pattern, 1)
+        return F.nullif(F.regexp_replace(found, _QUOTES, ""), F.lit(""))
+
+    return F.coalesce(attribute(_DATE_META), attribute(_DATE_TIME))

@@ -7,12 +7,11 @@ from pyspark.ml.classification import LinearSVC, RandomForestClassifier
 from pyspark.ml.feature import IDF, CountVectorizer, Normalizer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import ngrams, tokens
 from tallyloom.operators.frames import ordinal, years_since
-from tallyloom.operators.tfidf import VOCABULARY
 
 # Number codes of the two text attributes of a scoring row.
 FAT_CODES = {"Low Fat": 0, "Regular": 1}
@@ -22,6 +21,8 @@ SALES_ATTRIBUTES = ("item_weight", "fat_code", "item_visibility", "item_mrp", "s
 
 TEXT_TREES, TEXT_TREES_BALANCED, SALES_TREES, SEED = 100, 200, 100, 42
 LINEAR_PASSES = 50
+#: MLlib's own limits, where the caller gives none.
+DEEPEST, ALL_TERMS = 30, (1 << 31) - 1
 
 
 def with_terms(docs: DataFrame, text: str = "text", ngram=(1, 1), name: str = "terms") -> DataFrame:
@@ -30,7 +31,7 @@ def with_terms(docs: DataFrame, text: str = "text", ngram=(1, 1), name: str = "t
 
 
 def _text_stages(vocab: int, min_df: float, max_df: float, label: str) -> list:
-    # The vocabulary is the one thing MLlib gathers on the driver; ``vocab`` bounds it.
+    # The vocabulary is the one thing MLlib gathers on the driver; a caller bounds it with ``vocab``.
     return [
         CountVectorizer(inputCol="terms", outputCol="tf", vocabSize=vocab, minDF=min_df, maxDF=max_df),
         IDF(inputCol="tf", outputCol="tfidf"),
@@ -39,16 +40,16 @@ def _text_stages(vocab: int, min_df: float, max_df: float, label: str) -> list:
     ]
 
 
-def fit_rf_text(docs: DataFrame, trees: int = TEXT_TREES, ngram=(1, 2), vocab: int = VOCABULARY,
-                label: str = "label", text: str = "text", seed: int = SEED, max_depth: int = 5) -> PipelineModel:
-    """Random forest over TF-IDF vectors."""
+def fit_rf_text(docs: DataFrame, trees: int = TEXT_TREES, ngram=(1, 2), vocab: int = ALL_TERMS,
+                label: str = "label", text: str = "text", seed: int = SEED, max_depth: int = DEEPEST) -> PipelineModel:
+    """Random forest over TF-IDF vectors. Terms and depth are limited only where the caller says so."""
     forest = RandomForestClassifier(featuresCol="features", labelCol="label_code", numTrees=trees, seed=seed,
                                     featureSubsetStrategy="sqrt", maxDepth=max_depth)
     stages = _text_stages(vocab, 1.0, 2.0 ** 62, label)
     return Pipeline(stages=[*stages, forest]).fit(with_terms(docs, text, ngram))
 
 
-def fit_linear(docs: DataFrame, max_df: float = 0.7, vocab: int = 1 << 18, passes: int = LINEAR_PASSES,
+def fit_linear(docs: DataFrame, max_df: float = 0.7, vocab: int = ALL_TERMS, passes: int = LINEAR_PASSES,
                label: str = "label", text: str = "text") -> PipelineModel:
     """Linear hinge-loss classifier over TF-IDF vectors (two classes)."""
     svm = LinearSVC(featuresCol="features", labelCol="label_code", maxIter=passes)
@@ -57,13 +58,22 @@ def fit_linear(docs: DataFrame, max_df: float = 0.7, vocab: int = 1 << 18, passe
     return Pipeline(stages=[*stages, svm]).fit(with_terms(docs, text))
 
 
+def score_text(model: PipelineModel, docs: DataFrame, key: str, ngram=(1, 1), text: str = "text") -> DataFrame:
+    """Class probabilities and the confidence in percent of a forest: (key, prediction, probabilities, confidence)."""
+    scored = class_probabilities(model.transform(with_terms(docs, text, ngram)))
+    return scored.select(key, _class_name(model).alias("prediction"), "probabilities", "confidence")
+
+
+def _class_name(model: PipelineModel) -> Column:
+    names = next(s for s in model.stages if s.__class__.__name__ == "StringIndexerModel").labels
+    return F.get(F.array(*[F.lit(n) for n in names]), F.col("prediction").cast("int"))
+
+
 def predict_text(model: PipelineModel, docs: DataFrame, key: str, ngram=(1, 1), text: str = "text",
                  label: str = "label") -> DataFrame:
     """Class name per document: (key, label, prediction)."""
-    names = next(s for s in model.stages if s.__class__.__name__ == "StringIndexerModel").labels
-    table = F.array(*[F.lit(n) for n in names])
     scored = model.transform(with_terms(docs, text, ngram))
-    return scored.select(key, label, F.get(table, F.col("prediction").cast("int")).alias("prediction"))
+    return scored.select(key, label, _class_name(model).alias("prediction"))
 
 
 def sales_attributes(df: DataFrame) -> DataFrame:
@@ -75,7 +85,7 @@ def sales_attributes(df: DataFrame) -> DataFrame:
 
 def fit_sales(df: DataFrame, target: str, features, trees: int = SALES_TREES, seed: int = SEED,
               max_depth: int = 5) -> PipelineModel:
-    """Random-forest regressor; every feature is taken as a number, also codes."""
+    """Random-forest regressor; every feature is taken as a number, also codes. Trees stop at ``max_depth`` levels."""
     numeric = df.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(target).cast("double").alias(target))
     forest = RandomForestRegressor(featuresCol="features", labelCol=target, numTrees=trees, seed=seed,
                                    featureSubsetStrategy="all", maxDepth=max_depth)

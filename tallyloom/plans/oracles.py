@@ -103,6 +103,21 @@ TEXTS = "news AS (SELECT doc_id, text, source FROM documents)"
 RULED = NEWS + """, ruled AS (
   SELECT doc_id, label, CASE WHEN length(text) % 3 = 0 THEN 'Fake' ELSE 'Real' END AS prediction FROM news)"""
 
+#: Report over a relation ``ruled`` of (label, prediction).
+REPORT = """, per AS (
+        SELECT c.label AS "class", count(*) FILTER (WHERE r.label = c.label AND prediction = c.label)::DOUBLE AS tp,
+          count(*) FILTER (WHERE prediction = c.label)::DOUBLE AS guessed, count(*) FILTER (WHERE r.label = c.label) AS support
+        FROM ruled r CROSS JOIN (SELECT unnest(['Fake', 'Real']) AS label) c GROUP BY c.label),
+      scores AS (SELECT "class", CASE WHEN guessed > 0 THEN tp / guessed ELSE 0 END AS p,
+        CASE WHEN support > 0 THEN tp / support ELSE 0 END AS r,
+        CASE WHEN guessed + support > 0 THEN 2 * tp / (guessed + support) ELSE 0 END AS f, support FROM per)
+      SELECT "class", round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f1, support FROM scores
+      UNION ALL SELECT 'macro avg', round(avg(p), 6), round(avg(r), 6), round(avg(f), 6), CAST(sum(support) AS BIGINT) FROM scores
+      UNION ALL SELECT 'weighted avg', round(sum(p * support) / sum(support), 6), round(sum(r * support) / sum(support), 6),
+        round(sum(f * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM scores
+      UNION ALL SELECT 'accuracy', round(a, 6), round(a, 6), round(a, 6), n FROM (
+        SELECT avg(CASE WHEN label = prediction THEN 1.0::DOUBLE ELSE 0.0 END) AS a, count(*) AS n FROM ruled) q"""
+
 RETAIL = """retail AS (
   SELECT l_orderkey, l_linenumber, CAST(p_partkey AS VARCHAR) AS item_identifier,
     CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) END AS item_weight,
@@ -171,8 +186,17 @@ def _model(docs: str = "words", weights: str = "weights") -> str:
   priors AS (SELECT label, ln(count(*)::DOUBLE / (SELECT count(*) FROM {docs})) AS log_prior FROM {docs} GROUP BY label)"""
 
 
-def _predict(cap: str = "SELECT term, df FROM stats") -> str:
-    return f"""WITH {WORDS}, marked AS (SELECT *, {_hash('doc_id')} < {TEST_LIMIT} AS is_test FROM words),
+NB_RESULT = """
+  SELECT doc_id, min(CASE WHEN s = b THEN label END) AS prediction,
+    round(100.0 * max(exp(s - b)) / sum(exp(s - b)), 4) AS confidence
+  FROM joint JOIN best USING (doc_id) GROUP BY doc_id"""
+#: As many labelled texts of each class as the smaller one has.
+EVEN = f"""SELECT doc_id, label, w FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {_hash('doc_id', 7)}, doc_id) AS rn FROM words) q
+  WHERE rn <= (SELECT min(c) FROM (SELECT count(*) AS c FROM words GROUP BY label) r)"""
+
+
+def _predict(cap: str = "SELECT term, df FROM stats", docs: str = "SELECT * FROM words") -> str:
+    return f"""WITH {WORDS}, marked AS (SELECT *, {_hash('doc_id')} < {TEST_LIMIT} AS is_test FROM ({docs}) d),
   gram AS (SELECT doc_id, label, is_test, unnest(w) AS term FROM marked),
   counts AS (SELECT doc_id, label, is_test, term, count(*) AS tf FROM gram GROUP BY ALL),
   tf AS (SELECT * FROM counts WHERE NOT is_test), train AS (SELECT * FROM marked WHERE NOT is_test){STATS},
@@ -184,10 +208,7 @@ def _predict(cap: str = "SELECT term, df FROM stats") -> str:
   joint AS (SELECT m.doc_id, p.label, p.log_prior + coalesce(sum(e.weight * t.log_prob), 0) AS s
     FROM marked m CROSS JOIN priors p LEFT JOIN every e ON e.doc_id = m.doc_id
     LEFT JOIN model t ON t.term = e.term AND t.label = p.label WHERE m.is_test GROUP BY m.doc_id, p.label, p.log_prior),
-  best AS (SELECT doc_id, max(s) AS b FROM joint GROUP BY doc_id)
-  SELECT doc_id, min(CASE WHEN s = b THEN label END) AS prediction,
-    round(100.0 * max(exp(s - b)) / sum(exp(s - b)), 4) AS confidence
-  FROM joint JOIN best USING (doc_id) GROUP BY doc_id"""
+  best AS (SELECT doc_id, max(s) AS b FROM joint GROUP BY doc_id)""" + NB_RESULT
 
 
 CAPPED = "SELECT term, df FROM stats ORDER BY freq DESC, term LIMIT 5000"
@@ -371,19 +392,9 @@ ORACLES = {
     "d10_confusion": f"""WITH {RULED} SELECT label, count(*) FILTER (WHERE prediction = 'Fake') AS "Fake",
       count(*) FILTER (WHERE prediction = 'Real') AS "Real" FROM ruled GROUP BY label""",
     "d11_accuracy": f"WITH {RULED} SELECT round(avg(CASE WHEN label = prediction THEN 1.0::DOUBLE ELSE 0.0 END), 6) AS accuracy FROM ruled",
-    "d12_class_report": f"""WITH {RULED}, per AS (
-        SELECT c.label AS "class", count(*) FILTER (WHERE r.label = c.label AND prediction = c.label)::DOUBLE AS tp,
-          count(*) FILTER (WHERE prediction = c.label)::DOUBLE AS guessed, count(*) FILTER (WHERE r.label = c.label) AS support
-        FROM ruled r CROSS JOIN (SELECT unnest(['Fake', 'Real']) AS label) c GROUP BY c.label),
-      scores AS (SELECT "class", CASE WHEN guessed > 0 THEN tp / guessed ELSE 0 END AS p,
-        CASE WHEN support > 0 THEN tp / support ELSE 0 END AS r,
-        CASE WHEN guessed + support > 0 THEN 2 * tp / (guessed + support) ELSE 0 END AS f, support FROM per)
-      SELECT "class", round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f1, support FROM scores
-      UNION ALL SELECT 'macro avg', round(avg(p), 6), round(avg(r), 6), round(avg(f), 6), CAST(sum(support) AS BIGINT) FROM scores
-      UNION ALL SELECT 'weighted avg', round(sum(p * support) / sum(support), 6), round(sum(r * support) / sum(support), 6),
-        round(sum(f * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM scores
-      UNION ALL SELECT 'accuracy', round(a, 6), round(a, 6), round(a, 6), n FROM (
-        SELECT avg(CASE WHEN label = prediction THEN 1.0::DOUBLE ELSE 0.0 END) AS a, count(*) AS n FROM ruled) q""",
+    "d12_class_report": f"WITH {RULED}{REPORT}",
+    "d12_balanced_report": f"""{_predict(docs=EVEN)[:-len(NB_RESULT)]}, ruled AS (SELECT doc_id, label, prediction
+      FROM ({NB_RESULT}) q JOIN words USING (doc_id)){REPORT}""",
     "d13_regression_report": f"""WITH {RETAIL}, e AS (SELECT item_outlet_sales AS y, item_outlet_sales - item_mrp * 10 AS e FROM retail)
       SELECT round(avg(e * e), 1) AS mse, round(sqrt(avg(e * e)), 4) AS rmse, round(avg(abs(e)), 4) AS mae,
         round(1.0 - avg(e * e) / var_pop(y), 6) AS r2 FROM e""",
@@ -417,6 +428,8 @@ ORACLES = {
     "i5_tfidf_capped": f"""WITH {_tf(1, 3, ALL_WORDS)}{STATS}{_weights(keep=CAPPED)}
       SELECT doc_id, term, round(weight, 6) AS weight FROM weights""",
     "i6_split": f"WITH {NEWS} SELECT doc_id, label, CASE WHEN {_hash('doc_id')} < {TEST_LIMIT} THEN 'test' ELSE 'train' END AS part FROM news",
+    "i6_split_exact": f"""WITH {NEWS} SELECT doc_id, label, CASE WHEN row_number() OVER (ORDER BY {_hash('doc_id')}, doc_id)
+      <= ceil((SELECT count(*) FROM news) * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS part FROM news""",
     "i7_balance": f"""WITH {NEWS}, ranked AS (SELECT doc_id, source, label,
         row_number() OVER (PARTITION BY label ORDER BY {_hash('doc_id')}, doc_id) AS rn FROM news),
       s AS (SELECT min(c) AS n FROM (SELECT count(*) AS c FROM news GROUP BY label) q)

@@ -290,6 +290,10 @@ def i6_split(spark, d):
     return sampling.with_part(fx.news(spark, d), "doc_id").select("doc_id", "label", "part")
 
 
+def i6_split_exact(spark, d):
+    return sampling.split_exact(fx.news(spark, d), "doc_id").select("doc_id", "label", "part")
+
+
 def i7_balance(spark, d):
     return sampling.balance(fx.news(spark, d).select("doc_id", "source", "label"), "label", "doc_id", CLASSES)
 
@@ -414,8 +418,8 @@ def f7_top_class_terms(spark, d):
     return bayes.top_class_terms(bayes.fit_nb(weights, docs, CLASSES), 20, digits=6)
 
 
-def _nb_predictions(spark, d, **fit) -> DataFrame:
-    train, test = sampling.split(_words(spark, d), "doc_id")
+def _nb_predictions(spark, d, docs: DataFrame | None = None, **fit) -> DataFrame:
+    train, test = sampling.split(_words(spark, d) if docs is None else docs, "doc_id")
     vocab, weights = _weights(train, _counts(train), **fit)
     model = bayes.fit_nb(weights, train, CLASSES)
     unseen = tfidf.apply_tfidf(_counts(test), vocab, "doc_id", carry=("label",))
@@ -431,6 +435,19 @@ def i9_nb_predict_capped(spark, d):
     return predicted.select("doc_id", "prediction", _r("confidence", 4).alias("confidence"))
 
 
+def _even_news(spark, d) -> DataFrame:
+    """Labelled texts, as many of each class; drawn with another seed than the split that follows."""
+    return sampling.balance(fx.news(spark, d), "label", "doc_id", CLASSES, seed=7)
+
+
+def d12_balanced_report(spark, d):
+    """Balance the classes, clean, split, fit, predict, and report on the predictions."""
+    even = _even_news(spark, d)
+    words = even.select("doc_id", "label", txt.tokens(_latin_clean(F.col("text"))).alias("words"))
+    predicted = _nb_predictions(spark, d, words).select("doc_id", "prediction")
+    return metrics.classification_report(metrics.align(predicted, even.select("doc_id", "label"), "doc_id"), CLASSES)
+
+
 # --- models --------------------------------------------------------------------------------------
 
 def i11_rf_text(spark, d):
@@ -439,6 +456,13 @@ def i11_rf_text(spark, d):
     return models.predict_text(model, test, "doc_id", ngram=(1, 2))
 
 
+def i11_rf_text_balanced(spark, d):
+    """Twice the trees over one to three words, fitted on classes of one size; probabilities per test document."""
+    train, test = sampling.split(_even_news(spark, d), "doc_id")
+    model = models.fit_rf_text(train, trees=models.TEXT_TREES_BALANCED, ngram=(1, 3), vocab=tfidf.VOCABULARY)
+    return models.score_text(model, test, "doc_id", ngram=(1, 3))
+
+
 def i12_linear_text(spark, d):
     train, test = sampling.split(fx.news(spark, d), "doc_id")
     return models.predict_text(models.fit_linear(train), test, "doc_id")
@@ -569,11 +593,11 @@ QUERIES = {f.__name__: f for f in (
     b2_trades_unnest, b8_staging, b12_risk_tiers, b13_label_filter, b14_outlier_alerts, b17_recode,
     c1_reciprocal_pairs, c1b_reciprocal_pairs_agg, c2_append_if_absent, c3_merge_upsert, c4_incremental_slice,
     c4_slice_with_lookback, c5_claim_pages, d1_broker_matrix, d2_row_counts, d3_value_counts, d4_null_counts,
-    d5_profile, d6_impute, d9_class_sizes, d10_confusion, d11_accuracy, d12_class_report, d13_regression_report,
+    d5_profile, d6_impute, d9_class_sizes, d10_confusion, d11_accuracy, d12_class_report, d12_balanced_report, d13_regression_report,
     d15_dedupe, d17_term_stats, f2_head, f3_first_links, f4_importances, f5_shuffle, f6_top_terms,
     f7_top_class_terms, g1_concat_frames, h11_clean_text, h11_clean_devanagari, h16_url_host, h21_details,
-    h24_prefix, i3_tokens, i4_ngrams, i5_tfidf, i5_tfidf_capped, i6_split, i7_balance, i8_nb_model, i8_nb_priors,
-    i9_nb_predict, i9_nb_predict_capped, i11_rf_text, i12_linear_text, i13_label_encode, i14_sales_forest,
+    h24_prefix, i3_tokens, i4_ngrams, i5_tfidf, i5_tfidf_capped, i6_split, i6_split_exact, i7_balance, i8_nb_model, i8_nb_priors,
+    i9_nb_predict, i9_nb_predict_capped, i11_rf_text, i11_rf_text_balanced, i12_linear_text, i13_label_encode, i14_sales_forest,
     i16_batch_score, i17_isolation_scores, i18_alerts, i19_open_alerts, i20_vocabulary, i21_prefixes, i22_padded,
     i23_next_words, j1_title, j1_title_nodes, j2_body, j2_body_portal, j2_body_site, j3_keep, j4_links,
     j5_claim_listing, j6_articles, k1_not_null, k2_rules, k3_unique, k3_unique_contract, k4_quarantine,

@@ -49,6 +49,23 @@ def test_page_pieces(spark):
     assert one(spark, "<h1>a <b> b </b>c</h1>", H.page_title(F.col("t"), None, "nodes"))[0] == "abc"
 
 
+@pytest.mark.parametrize("html, date", [
+    ('<META property="article:published_time" content="2026-01-05">', "2026-01-05"),
+    ("<meta content='5 Jan' data-x=1 property='article:published_time'/>", "5 Jan"),
+    ('<meta property=article:published_time content=2026-01-06><time datetime="x">', "2026-01-06"),
+    ('<meta property="og:title" content="no"><meta content="" property="article:published_time"><TIME class="t" datetime=\'2026-01-07\'>', "2026-01-07"),
+    ('<meta property="og:title" content="no"><time data-datetime="no">', None), ("", None), (None, None)])
+def test_publish_date(spark, html, date):
+    assert one(spark, html, H.publish_date(F.col("t")))[0] == date
+
+
+@pytest.mark.parametrize("html, links", [
+    ('<a data-href="no" href="/y">', ["/y"]), ("<A HREF=/bare>x</A>", ["/bare"]), ('<abbr href="/no"><a name="n">', []),
+    ('<a\nhref = "/two words" >', ["/two words"])])
+def test_links(spark, html, links):
+    assert one(spark, html, H.page_hrefs(F.col("t")))[0] == links
+
+
 def test_failed_pages(spark):
     df = spark.createDataFrame([(1, "u", "<p>", 200), (2, "u", "<p>", 404), (3, "u", None, 200)], "page_id long, url string, html string, status int")
     good, bad = pg.fetched(df)
@@ -114,6 +131,14 @@ def test_split_and_balance(spark):
         sampling.balance(df, "label", "k", ["a", "none"]).collect()
 
 
+@pytest.mark.parametrize("n", [0, 1, 4, 399])
+def test_exact_split(spark, n):
+    df = spark.range(n).withColumnRenamed("id", "k")
+    parts = sampling.split_exact(df, "k")
+    assert parts.count() == n and parts.filter("part = 'test'").count() == math.ceil(n * 0.2)
+    assert sampling.split_exact(df.repartition(5), "k").exceptAll(parts).count() == 0
+
+
 def test_encode_large_equals_small(spark):
     df = spark.range(500).select("id", F.concat(F.lit("v"), (F.col("id") * 7 % 97).cast("string")).alias("c"))
     df = df.withColumn("c", F.when(F.col("id") % 50 != 0, F.col("c")))
@@ -192,6 +217,9 @@ def test_text_models(spark):
     for predicted in (models.predict_text(models.fit_rf_text(docs, trees=5, ngram=(1, 2)), docs, "doc_id", ngram=(1, 2)),
                       models.predict_text(models.fit_linear(docs), docs, "doc_id")):
         assert metrics.accuracy(predicted).first()[0] == 1.0
+    shares = models.score_text(models.fit_rf_text(docs, trees=5, ngram=(1, 3)), docs, "doc_id", ngram=(1, 3)).collect()
+    assert len(shares) == 60 and all(sum(r.probabilities) == pytest.approx(1.0) and r.confidence > 50 for r in shares)
+    assert {r.prediction for r in shares if r.doc_id % 2} == {"Real"}
 
 
 def test_plans(spark, small):
