@@ -247,17 +247,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     return marked.join(classes(marked, radius), "fp", "left").select("key", "fp", "component")
 
 
-def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """One document of each component stays, that with the smallest id; same columns.
-
-    Rows with the same id count as copies of each other; rows without an id only if their texts are equal.
-    """
-    found = near_duplicates(docs, key, text, shingle)
-    later = found.filter(F.col("key") > F.col("component")).select(F.col("key").cast("string").alias("__k")).distinct()
-    named = docs.withColumn("__k", F.coalesce(F.col(key).cast("string"), F.concat(F.lit("text "), F.sha2(F.coalesce(F.col(text), F.lit("")), 256))))
-    return named.join(later, "__k", "left_anti").dropDuplicates(["__k"]).drop("__k")
-
-
 def op6_simhash(docs: DataFrame) -> DataFrame:
     """One row per document: its fingerprint and its component."""
     return near_duplicates(docs).select(F.col("key").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
