@@ -46,23 +46,24 @@ def clean_day(spark: SparkSession, day: str, root: str) -> dict[str, int]:
     """Merge the run's documents into the clean tables; a feed without data is skipped with a warning.
 
     A document may hold rows of other days: they are merged by key, so nothing stored before is lost. Rows that miss a
-    required column or break a rule go to the rejected table. Returns rows merged.
+    required column or break a rule go to the rejected table before one row per key is chosen among the good ones. Returns rows merged.
     """
     paths, written = table_paths(root), {}
-    feeds = (("forex", read_forex, lambda raw: silver.clean_forex(silver.flatten_forex(raw)), "rate_date", "currency_iso3",
-              K.FOREX_RATES, K.FOREX_KEYS, K.FOREX_RULES),
-             ("floorsheet", read_floorsheet, lambda raw: silver.clean_trades(silver.flatten_trades(raw)), "trade_date", "symbol",
-              K.TRADES, K.TRADE_KEYS, K.TRADE_RULES))
-    for feed, read, clean, column, sort, contract, keys, rules in feeds:
+    feeds = (("forex", read_forex, lambda raw: silver.typed_forex(silver.flatten_forex(raw)), silver.first_rates, "ingested_at",
+              "rate_date", "currency_iso3", K.FOREX_RATES, K.FOREX_KEYS, K.FOREX_RULES),
+             ("floorsheet", read_floorsheet, lambda raw: silver.typed_trades(silver.flatten_trades(raw)), silver.first_trades, "processed_at",
+              "trade_date", "symbol", K.TRADES, K.TRADE_KEYS, K.TRADE_RULES))
+    for feed, read, typed, first, audit, column, sort, contract, keys, rules in feeds:
         raw = _documents(spark, root, feed, day, read)
         if raw is None:
             log.warning("no %s documents for %s, skipped", feed, day)
             continue
         target = paths["forex" if feed == "forex" else "trades"]
-        good, rejected = quality.quarantine(cut_lineage(clean(raw)), rules, K.required_columns(contract))
+        good, rejected = quality.quarantine(cut_lineage(typed(raw)), rules, K.required_columns(contract))
         if not rejected.isEmpty():
             log.warning("%s rows of %s are rejected, see %s", feed, day, paths["rejected"])
             _keep_rejected(rejected, paths["rejected"], feed, day)
+        good = cut_lineage(silver.with_audit(first(good), audit))  # a bad version of a key never displaces a good one
         written[feed] = good.count()
         if written[feed]:
             merge_days(good, target, keys, contract, column, sort)

@@ -131,6 +131,19 @@ def test_rejected_rows(spark, tmp_path):
         assert reasons == ["rate_not_negative", "symbol_missing", "total_amount_missing"]
 
 
+def test_rows_are_rejected_before_one_per_key_is_kept(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [("pair", "ABC", "1", "2", "5", "10", "-100", "x"), ("pair", "ABC", "1", "2", "5", "10", "100", "x"),
+            (None, "ABC", "1", "2", "5", "10", "100", "x"), ("zero", "ABC", "1", "2", "0", "10", "100", "x"), ("none", "ABC", "1", "2", None, "10", "100", "x")]
+    doc = spark.createDataFrame([("SUCCESS", "2026-01-05", rows), ("SUCCESS", "2026-01-05", [])], K.FLOORSHEET_DOCUMENT)
+    bronze.land_bronze(doc.withColumn("dt", F.lit("2026-01-05").cast("date")), root, "floorsheet")
+    daily.run_day(spark, "2026-01-05", root)
+    stored = tables.read_table(spark, daily.table_paths(root)["trades"], K.TRADES).collect()
+    assert [(r["contract_id"], int(r["total_amount"])) for r in stored] == [("pair", 100)]
+    reasons = sorted(r["reasons"] for r in spark.read.parquet(daily.table_paths(root)["rejected"]).collect())
+    assert reasons == ["amount_not_negative", "contract_id_missing", "quantity_missing", "quantity_positive"]
+
+
 def test_links_as_a_parser_sees_them(spark):
     from tallyloom.functions.html import page_hrefs
     page = """<a data-href="x" href="y">1</a><A class=b HREF='q&amp;r'>2</A><a href=bare>3</a><a data-href="no">4</a><abbr href="z">5</abbr><a title="t" href = "a b">6</a>"""
