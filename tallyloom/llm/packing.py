@@ -31,12 +31,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 CAPACITY = 1024
 END = 2
 VOCABULARY = "byte_bpe_50k.tiktoken"  # the same vocabulary as byte_bpe_50k.json, as ranks
+ADDED_IN = "byte_bpe_50k.json"  # its added tokens match in plain text, as in tokenizers with the file as loaded
 CACHED_WORDS = 300_000
 _APART = re.compile(r"\s \s")
 
 
 class Encoder:
-    """Ids of a text as little-endian unsigned 32-bit bytes.
+    """Ids of a text without added tokens as little-endian unsigned 32-bit bytes.
 
     The tokenizer splits before a blank that a visible character follows, so words are encoded one by one and remembered;
     a text in which a single blank stands among other white space is encoded whole.
@@ -71,6 +72,30 @@ class Encoder:
         return b"".join(out)
 
 
+class WholeEncoder(Encoder):
+    """Ids of any text: it is cut at the added tokens, which have ids of their own, and the parts are encoded alone."""
+
+    def __init__(self, vocabulary: str, added_in: str = ADDED_IN):
+        import json
+
+        import public_tokenizers
+
+        super().__init__(vocabulary)
+        with open(public_tokenizers.path(added_in), encoding="utf-8") as whole:
+            added = json.load(whole).get("added_tokens", [])
+        if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added):
+            raise ValueError("added tokens that depend on the text around them are not supported")
+        self.added = {t["content"]: np.array([t["id"]], dtype="<u4").tobytes() for t in added}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.cut = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
+
+    def __call__(self, text: str) -> bytes:
+        if self.cut is None or not self.cut.search(text):
+            return super().__call__(text)
+        encode = super().__call__
+        return b"".join(self.added[part] if i % 2 else encode(part) for i, part in enumerate(self.cut.split(text)) if part)
+
+
 def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY,
            capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """(key, piece, start, length, ids_crc32): every document as pieces of at most ``capacity`` ids.
@@ -83,7 +108,7 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary:
     stop = np.array([end], dtype="<u4").tobytes()
 
     def batches(source):
-        encode = Encoder(vocabulary)
+        encode = WholeEncoder(vocabulary)
         for batch in source:
             row, piece, start, length, crc = [], [], [], [], []
             for i, text in enumerate(batch.column(1)):

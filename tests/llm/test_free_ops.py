@@ -292,6 +292,22 @@ def test_packing_repeated_rows_and_white_space(spark):
     assert packing.op9_packing(make(spark, [])).count() == 0
 
 
+def test_packing_has_the_ids_of_added_tokens(spark):
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(path("byte_bpe_50k.json"))  # as loaded
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, end * 3, f"x  {end}  y  {end}\n", f"{end}word  z", f"a <|endoftext|b {end}>", "plain  text", f" {end} "]
+    got = packing.op9_packing(make(spark, [(i, t, "en", "s1") for i, t in enumerate(texts)])).collect()
+    want = {}
+    for i, t in enumerate(texts):
+        ids = [*whole.encode(t, add_special_tokens=False).ids, 2]
+        want[i] = (len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
+    assert whole.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    assert {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in got} == want
+
+
 def test_plan_places_every_piece():
     for seed in range(8):
         rng = random.Random(seed)
