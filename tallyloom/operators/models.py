@@ -84,8 +84,8 @@ def sales_attributes(df: DataFrame) -> DataFrame:
 
 
 def fit_sales(df: DataFrame, target: str, features, trees: int = SALES_TREES, seed: int = SEED,
-              max_depth: int = 5) -> PipelineModel:
-    """Random-forest regressor; every feature is taken as a number, also codes. Trees stop at ``max_depth`` levels."""
+              max_depth: int = DEEPEST) -> PipelineModel:
+    """Random-forest regressor; every feature is taken as a number, also codes. Depth is limited only where the caller says so."""
     numeric = df.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(target).cast("double").alias(target))
     forest = RandomForestRegressor(featuresCol="features", labelCol=target, numTrees=trees, seed=seed,
                                    featureSubsetStrategy="all", maxDepth=max_depth)

@@ -211,6 +211,12 @@ def test_sales_model_round_trip(spark, tmp_path):
     assert missing.filter("prediction is null").count() == 1
 
 
+def test_sales_trees_are_not_cut(spark):
+    df = spark.range(300).select(F.col("id").cast("double").alias("x"), F.pmod(F.xxhash64("id"), F.lit(1000)).cast("double").alias("y"))
+    model = models.fit_sales(df, "y", ["x"], trees=3)
+    assert all(t.depth > 5 for t in model.stages[-1].trees)
+
+
 def test_text_models(spark):
     rows = [(i, ("good news today" if i % 2 else "fake shock rumour") + f" w{i % 5}", "Real" if i % 2 else "Fake") for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, label string")
