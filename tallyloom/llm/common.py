@@ -18,11 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` written to a compressed table in the shared checkpoint folder and read again; row order may change."""
+def written(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` written to a compressed table in the shared checkpoint folder and read again; row order may change.
+
+    ``by`` names columns that get a folder per value, so that a filter on them reads no other rows.
+    """
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    df.write.partitionBy(*by).option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def text_of(c: str | Column) -> Column:

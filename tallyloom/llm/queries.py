@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyloom.llm import backoff, bwt_dedup, decision_list, filter_audit, license_join, line_blocks, packing, pivotal, secrets, simhash, syncmers, warc
+from tallyloom.llm import backoff, bwt_dedup, decision_list, filter_audit, license_join, line_blocks, packing, pivotal, secrets, simhash, syncmers, term_pipeline, warc
 from tallyloom.llm.common import table
 
 QUERIES = {
@@ -17,10 +17,12 @@ QUERIES = {
     "op9_best_fit_packing": lambda spark, d: packing.op9_packing(table(spark, d, "documents")),
     "op10_secret_scans": lambda spark, d: secrets.op10_secret_scans(table(spark, d, "documents")),
     "op11_filter_audit": lambda spark, d: filter_audit.op11_filter_audit(table(spark, d, "documents"), table(spark, d, "labels")),
+    "op12_ranked_search": lambda spark, d: term_pipeline.op12_ranked_search(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op13_license_scans": lambda spark, d: license_join.op13_license_scans(table(spark, d, "documents")),
 }
 
 ORACLES: dict[str, str] = {
     "op11_filter_audit": filter_audit.OP11_SQL,
+    "op12_ranked_search": term_pipeline.OP12_SQL,
     "op13_license_scans": license_join.OP13_SQL,
 }
