@@ -24,7 +24,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -232,11 +232,16 @@ def links(fps: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame
     return pairs.unionByName(crowd_links(cut_lineage(dense)))
 
 
+def rooted_groups(marked: DataFrame, least: Column, radius: int = RADIUS) -> DataFrame:
+    """(fp, least, root) per distinct fingerprint: the smallest value of its rows and the name of its component."""
+    fps = cut_lineage(marked.groupBy("fp").agg(F.min(least).alias("least")))
+    roots = components(links(fps.select("fp"), radius))
+    return fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def classes(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(fp, component) per distinct fingerprint of (key, fp): the smallest key that can be reached."""
-    fps = cut_lineage(marked.groupBy("fp").agg(F.min("key").alias("least")))
-    roots = components(links(fps.select("fp"), radius))
-    rooted = fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = rooted_groups(marked, F.col("key"), radius)
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component"))
     return rooted.join(smallest, "root").select("fp", "component")
 
@@ -247,6 +252,38 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     return marked.join(classes(marked, radius), "fp", "left").select("key", "fp", "component")
 
 
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """Exactly one row of each component stays: that with the smallest id (nulls last), then text hash, then other columns.
+
+    Rows with the same id and different texts are different documents, and so are rows without an id. Same columns; rows
+    equal in all of them count once. The choice does not depend on the order or place of the rows.
+    """
+    name = "kept"
+    while name in docs.columns:
+        name += "_"
+    body = F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))
+    rest = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in (key, text)], F.col(text).isNull().alias("no text"))))
+    of_row = F.concat_ws("/", F.coalesce(F.col(key).cast("string"), F.lit("none")), body, rest)
+    source = docs.select(F.col(key).alias("key"), body.alias("body"), of_row.alias("name"), F.col(text).cast("string").alias("text"))
+    schema = T.StructType([*[source.schema[c] for c in ("key", "body", "name")], T.StructField("fp", T.LongType(), False)])
+
+    def batches(source):
+        for batch in source:
+            made = [fingerprint(t.as_py(), shingle) for t in batch.column(3)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(3)], pa.array(made, pa.int64())], names=["key", "body", "name", "fp"])
+
+    rows = cut_lineage(source.mapInArrow(batches, schema))
+    order = F.struct(F.col("key").isNull().alias("unnamed"), "key", "body", "name")
+    first = rooted_groups(rows, order, radius).groupBy("root").agg(F.min("least").alias("first"))
+    chosen = rows.join(first.select("first.name"), "name", "left_semi").groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    chosen = cut_lineage(chosen.withColumnRenamed("name", name))
+    named = docs.withColumn(name, of_row)
+    # Only rows that are repeated in full have to be brought together.
+    once = named.join(chosen.filter("n = 1").select(name), name, "left_semi")
+    repeated = named.join(chosen.filter("n > 1").select(name), name, "left_semi").dropDuplicates([name])
+    return once.unionByName(repeated).drop(name)
+
+
 def op6_simhash(docs: DataFrame) -> DataFrame:
     """One row per document: its fingerprint and its component."""
     return near_duplicates(docs).select(F.col("key").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),

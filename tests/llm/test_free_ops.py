@@ -168,11 +168,30 @@ def test_components(spark):
 def test_keep_first(spark):
     rows = [(3, PASSAGE, None, None), (1, PASSAGE, None, None), (1, PASSAGE, None, None), (None, PASSAGE, None, None), (None, PASSAGE, None, None), (8, "other text entirely, with a few words", None, None)]
     kept = sh.keep_first(make(spark, rows, extra=True))
-    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "8", "None"] and kept.columns == make(spark, rows, extra=True).columns
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "8"] and kept.columns == make(spark, rows, extra=True).columns
     assert sh.op6_simhash(make(spark, rows)).filter("component_id = 1").count() == 5
     assert sh.op6_simhash(make(spark, [])).count() == 0
 
 
+def test_one_row_of_each_component_stays(spark):
+    rng = random.Random(2)
+    own = [" ".join(f"w{rng.randrange(5000)}" for _ in range(400)) for _ in range(4)]
+    near = own[0].rsplit(" ", 1)[0] + " end"
+    rows = [(5, own[1]), (5, own[2]), (5, near), (3, own[0]), (None, own[0] + " tail"), (None, own[3] + " a"), (None, own[3] + " b"), (3, own[0])]
+    assert len({simhash(t) for _, t in rows}) > 5 and all((simhash(own[0]) ^ simhash(t)).bit_count() <= 4 for t in (near, own[0] + " tail"))
+    kept = [(r["doc_id"], r["text"]) for r in sh.keep_first(make(spark, [(*r, "en", "web") for r in rows])).collect()]
+    assert len(kept) == 4 and {(5, own[1]), (5, own[2]), (3, own[0])} < set(kept)
+    assert [k for k, t in kept if t.startswith(own[3])] == [None]
+
+
+def test_the_row_that_stays_is_the_same_in_any_order(spark):
+    rows = [(1, PASSAGE, "en", f"s{i % 7}") for i in range(60)] + [(None, None, "en", "s"), (None, "", "en", "s"), (2, None, "en", "s")]
+    docs = make(spark, rows, extra=True).withColumn("kept", F.lit(1)).withColumn("a.b", F.lit(2))
+    got = {tuple(sorted((r["doc_id"], r["text"], r["source"]) for r in sh.keep_first(docs.orderBy(F.xxhash64("source", F.lit(i))).repartition(i + 1)).collect())) for i in range(3)}
+    assert len(got) == 1 and [r[0] for r in got.pop()] == [1, 2]
+    assert sh.keep_first(docs).columns == docs.columns and sh.keep_first(make(spark, [])).count() == 0
+
+
 @pytest.mark.parametrize("source", ["rows", "table"])
 def test_repeated_strings(spark, small, source):
     df = make(spark, extra=True) if source == "rows" else table(spark, small, "documents")
