@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decision_list, packing, pivotal, secrets, shingle_sets
+from tallyloom.llm import decision_list, packing, pivotal, secrets, simhash
 from tallyloom.llm.common import table
 from tallyloom.session import ensure_checkpoint_dir
 
@@ -18,8 +18,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, that with the smallest id, of each group linked by a Jaccard similarity of 0.8 or more."""
-    return shingle_sets.keep_first(docs)
+    """Keeps one document, that with the smallest id, of each group linked by SimHash fingerprints of four words, four bits apart at most."""
+    return simhash.keep_first(docs)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,7 @@ STAGES = [
     ("best-fit packing", best_fit_packing),
 ]
 
-#: No stage but the base rule can be written as SQL (learned rules, shingle similarity, random rounding, tokens).
+#: No stage but the base rule can be written as SQL (learned rules, linked fingerprints, random rounding, tokens).
 ORACLE_SQL = None
 
 
