@@ -1,16 +1,16 @@
-"""Forest and linear models from Spark MLlib."""
+"""Text classifiers from Spark MLlib, and the sales regressor."""
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, RandomForestClassifier
-from pyspark.ml.feature import IDF, CountVectorizer, Normalizer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import IDF, CountVectorizer, Normalizer, StringIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import ngrams, tokens
+from tallyloom.operators.forest import ROWS_PER_TREE, Forest, fit_forest, forest_importances, score_forest
 from tallyloom.operators.frames import ordinal, years_since
 
 # Number codes of the two text attributes of a scoring row.
@@ -83,41 +83,25 @@ def sales_attributes(df: DataFrame) -> DataFrame:
     return coded if "outlet_years" in coded.columns else years_since(coded, "outlet_establishment_year")
 
 
-def fit_sales(df: DataFrame, target: str, features, trees: int = SALES_TREES, seed: int = SEED,
-              max_depth: int = DEEPEST) -> PipelineModel:
-    """Random-forest regressor; every feature is taken as a number, also codes. Depth is limited only where the caller says so."""
-    numeric = df.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(target).cast("double").alias(target))
-    forest = RandomForestRegressor(featuresCol="features", labelCol=target, numTrees=trees, seed=seed,
-                                   featureSubsetStrategy="all", maxDepth=max_depth)
-    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), forest]).fit(numeric)
+def fit_sales(df: DataFrame, target: str, features, trees: int = SALES_TREES, seed: int = SEED, max_depth: int | None = None,
+              rows_per_tree: int = ROWS_PER_TREE, key: str | None = None) -> Forest:
+    """Random-forest regressor; every feature is taken as a number, also codes. Trees are grown to the end unless ``max_depth`` is given."""
+    return fit_forest(df, target, features, trees, rows_per_tree, max_depth, seed, key)
 
 
-def score_sales(df: DataFrame, model: PipelineModel) -> DataFrame:
+def score_sales(df: DataFrame, model: Forest) -> DataFrame:
     """Add the predicted sales to a table of attribute rows; rows with a missing attribute get null."""
-    features = model.stages[0].getInputCols()
-    # Missing values are filled for the vector only; the prediction of such a row is nulled again.
-    incomplete = F.lit(False)
-    for c in features:
-        incomplete = incomplete | F.col(c).isNull()
-    ready = df.withColumn("_incomplete", incomplete)
-    for c in features:
-        ready = ready.withColumn(f"_{c}", F.coalesce(F.col(c).cast("double"), F.lit(0.0)))
-    assembler = VectorAssembler(inputCols=[f"_{c}" for c in features], outputCol="features")
-    scored = model.stages[-1].transform(assembler.transform(ready))
-    return scored.withColumn("prediction", F.when(~F.col("_incomplete"), F.col("prediction"))).drop(
-        "features", "_incomplete", *[f"_{c}" for c in features])
-
-
-def importances(model: PipelineModel, spark: SparkSession) -> DataFrame:
+    return score_forest(df, model)
+
+
+def importances(model: Forest) -> DataFrame:
     """Importance of each feature of a fitted model as rows (feature, importance)."""
-    names = model.stages[0].getInputCols()
-    values = model.stages[-1].featureImportances.toArray().tolist()
-    return spark.createDataFrame(list(zip(names, values)), "feature string, importance double")
+    return forest_importances(model)
 
 
-def top_importances(model: PipelineModel, spark: SparkSession, n: int = 7) -> DataFrame:
+def top_importances(model: Forest, n: int = 7) -> DataFrame:
     """The ``n`` most important features."""
-    return importances(model, spark).orderBy(F.desc("importance"), "feature").limit(n)
+    return importances(model).orderBy(F.desc("importance"), "feature").limit(n)
 
 
 def class_probabilities(scored: DataFrame) -> DataFrame:

@@ -470,7 +470,7 @@ def i12_linear_text(spark, d):
 
 def _sales_model(spark, d, features):
     train, _ = sampling.split(_sales_rows(spark, d), "row_id")
-    return models.fit_sales(train, "item_outlet_sales", features)
+    return models.fit_sales(train, "item_outlet_sales", features, key="row_id")
 
 
 def _sales_rows(spark, d) -> DataFrame:
@@ -491,7 +491,7 @@ def i14_sales_forest(spark, d):
 
 
 def f4_importances(spark, d):
-    return models.top_importances(_sales_model(spark, d, WIDE), spark)
+    return models.top_importances(_sales_model(spark, d, WIDE))
 
 
 def i16_batch_score(spark, d):

@@ -1,15 +1,30 @@
-"""Saving and loading of fitted pipelines."""
+"""Saving and loading of fitted models."""
 
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from tallyloom.operators.forest import Forest
 
-def save_model(model: PipelineModel, path: str) -> None:
-    """Write a fitted pipeline, replacing an older one."""
-    model.write().overwrite().save(path)
+_TREES = "trees"
 
 
-def load_model(path: str) -> PipelineModel:
-    """Read a fitted pipeline."""
-    return PipelineModel.load(path)
+def save_model(model: PipelineModel | Forest, path: str) -> None:
+    """Write a fitted pipeline or forest, replacing an older one."""
+    if isinstance(model, Forest):
+        names = F.array(*[F.lit(f) for f in model.features]).alias("features")
+        model.table.select(names, "*").write.mode("overwrite").parquet(f"{path}/{_TREES}")
+    else:
+        model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel | Forest:
+    """Read a fitted pipeline or forest."""
+    spark = SparkSession.active()
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_TREES}")
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return PipelineModel.load(path)
+    table = spark.read.parquet(f"{path}/{_TREES}")
+    return Forest(tuple(table.select("features").first()[0]), table.drop("features"))

@@ -2,13 +2,14 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.functions import html as H
 from tallyloom.functions import text as txt
 from tallyloom.functions.urls import portal_name, url_host
-from tallyloom.operators import bayes, encode, frames, impute, metrics, models, profile, sampling, sequences, skew, tfidf
+from tallyloom.operators import bayes, encode, forest, frames, impute, metrics, models, profile, sampling, sequences, skew, tfidf
 from tallyloom.operators import pages as pg
 from tallyloom.sources.saved import load_model, save_model
 
@@ -206,7 +207,7 @@ def test_sales_model_round_trip(spark, tmp_path):
     save_model(model, str(tmp_path / "m"))
     first, second = models.score_sales(df, model), models.score_sales(df, load_model(str(tmp_path / "m")))
     assert first.exceptAll(second).count() == 0
-    assert models.top_importances(model, df.sparkSession, 1).first().feature == "x"
+    assert models.top_importances(model, 1).first().feature == "x"
     missing = models.score_sales(df.withColumn("x", F.when(F.col("id") != 0, F.col("x"))), model)
     assert missing.filter("prediction is null").count() == 1
 
@@ -214,7 +215,75 @@ def test_sales_model_round_trip(spark, tmp_path):
 def test_sales_trees_are_not_cut(spark):
     df = spark.range(300).select(F.col("id").cast("double").alias("x"), F.pmod(F.xxhash64("id"), F.lit(1000)).cast("double").alias("y"))
     model = models.fit_sales(df, "y", ["x"], trees=3)
-    assert all(t.depth > 5 for t in model.stages[-1].trees)
+    assert all(t.depth > 5 for t in model.table.collect())
+    assert all(t.depth == 4 for t in models.fit_sales(df, "y", ["x"], trees=3, max_depth=4).table.collect())
+
+
+def _cart(x, y, w):
+    """A fully grown tree by trying every cut of every node: nested (attribute, threshold, left, right) or a mean."""
+    mean = np.average(y, weights=w)
+    if y.max() == y.min():
+        return mean
+    best = None
+    for j in range(x.shape[1]):
+        values = np.unique(x[:, j])
+        for low, high in zip(values, values[1:]):
+            left = x[:, j] <= low
+            gain = (w * y)[left].sum() ** 2 / w[left].sum() + (w * y)[~left].sum() ** 2 / w[~left].sum()
+            if best is None or gain > best[0] * (1 + 1e-12):
+                best = (gain, j, (low + high) / 2, left)
+    if best is None:
+        return mean
+    _, j, cut, left = best
+    return j, cut, _cart(x[left], y[left], w[left]), _cart(x[~left], y[~left], w[~left])
+
+
+def _cart_value(tree, row):
+    while isinstance(tree, tuple):
+        tree = tree[3] if row[tree[0]] > tree[1] else tree[2]
+    return tree
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_a_tree_equals_one_by_brute_force(seed):
+    rng = np.random.default_rng(seed)
+    x = np.round(rng.normal(size=(80, 3)), 1 if seed % 2 else 6)
+    y, w = np.round(rng.normal(size=80), 2), rng.integers(1, 4, 80).astype(float)
+    grown, whole = forest.grow_tree(x, y, w), _cart(x, y, w)
+    assert np.allclose(forest.tree_values(grown, x), [_cart_value(whole, r) for r in x])
+    points = rng.normal(size=(200, 3))
+    if seed % 2 == 0:  # without ties the cuts are the same too
+        assert np.allclose(forest.tree_values(grown, points), [_cart_value(whole, r) for r in points])
+    assert grown["importance"].sum() == pytest.approx(1.0) and len(grown["feature"]) == 2 * (grown["feature"] < 0).sum() - 1
+
+
+def test_a_forest_does_not_depend_on_partitions_or_blocks(spark, monkeypatch):
+    df = spark.range(3000).select("id", (F.col("id") % 97).alias("a"), (F.xxhash64("id") % 1000).alias("b"),
+                                  ((F.col("id") % 97) * 3.0 + F.sin("id") * 20).alias("y"), F.lit(7).alias("_row"))
+    fits = [models.fit_sales(df.drop("_row").repartition(n), "y", ["a", "b"], trees=23, key="id") for n in (1, 9)]
+    assert fits[0].table.exceptAll(fits[1].table).count() == 0
+    first = models.score_sales(df.drop("_row"), fits[0]).orderBy("id").collect()
+    monkeypatch.setattr(forest, "ROWS_PER_BLOCK", 100)
+    assert models.score_sales(df.drop("_row").repartition(5), fits[1]).orderBy("id").collect() == first
+    wrong = sum((r.prediction - r.y) ** 2 for r in first) / sum((r.y - 144) ** 2 for r in first)
+    assert len(first) == 3000 and wrong < 0.1
+    assert models.importances(fits[0]).agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
+
+
+def test_rows_per_tree_bound_the_rows_of_a_tree(spark):
+    rows = spark.range(20_000).select(F.xxhash64("id").alias("_id"))
+    each = forest.drawn_rows(rows, 30, 0.1, 42).groupBy("_tree").agg(F.sum("_times").alias("n"), F.max("_times").alias("most")).collect()
+    assert len(each) == 30 and all(1700 < r.n < 2300 for r in each) and max(r.most for r in each) < 6
+    whole = forest.drawn_rows(rows, 5, 1.0, 42).groupBy("_tree").agg(F.sum("_times").alias("n"), F.count("*").alias("rows")).collect()
+    assert all(19_000 < r.n < 21_000 and 0.61 < r.rows / 20_000 < 0.65 for r in whole)
+
+
+def test_odd_sales_rows(spark):
+    df = spark.createDataFrame([(1.0, 5.0), (2.0, None), (None, 3.0), (1.0, 5.0)], "x double, y double")
+    model = models.fit_sales(df, "y", ["x"], trees=2, seed=1)
+    assert {r.prediction for r in models.score_sales(df, model).collect()} <= {5.0, None}
+    empty = models.fit_sales(df.limit(0), "y", ["x"], trees=2)
+    assert [r.prediction for r in models.score_sales(df, empty).collect()] == [None] * 4 and models.importances(empty).count() == 0
 
 
 def test_text_models(spark):
