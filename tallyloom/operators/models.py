@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IDF, CountVectorizer, Normalizer, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -20,7 +20,6 @@ SIZE_CODES = {"Small": 0, "Medium": 1, "High": 2}
 SALES_ATTRIBUTES = ("item_weight", "fat_code", "item_visibility", "item_mrp", "size_code", "outlet_years")
 
 TEXT_TREES, TEXT_TREES_BALANCED, SALES_TREES, SEED = 100, 200, 100, 42
-LINEAR_PASSES = 50
 #: MLlib's own limits, where the caller gives none.
 DEEPEST, ALL_TERMS = 30, (1 << 31) - 1
 
@@ -49,15 +48,6 @@ def fit_rf_text(docs: DataFrame, trees: int = TEXT_TREES, ngram=(1, 2), vocab: i
     return Pipeline(stages=[*stages, forest]).fit(with_terms(docs, text, ngram))
 
 
-def fit_linear(docs: DataFrame, max_df: float = 0.7, vocab: int = ALL_TERMS, passes: int = LINEAR_PASSES,
-               label: str = "label", text: str = "text") -> PipelineModel:
-    """Linear hinge-loss classifier over TF-IDF vectors (two classes)."""
-    svm = LinearSVC(featuresCol="features", labelCol="label_code", maxIter=passes)
-    stages = _text_stages(vocab, 1.0, max_df, label)
-    stages[-1] = stages[-1].setHandleInvalid("error")
-    return Pipeline(stages=[*stages, svm]).fit(with_terms(docs, text))
-
-
 def score_text(model: PipelineModel, docs: DataFrame, key: str, ngram=(1, 1), text: str = "text") -> DataFrame:
     """Class probabilities and the confidence in percent of a forest: (key, prediction, probabilities, confidence)."""
     scored = class_probabilities(model.transform(with_terms(docs, text, ngram)))

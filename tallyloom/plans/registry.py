@@ -10,7 +10,7 @@ from tallyloom.functions import text as txt
 from tallyloom.functions.hashing import keyed_hash
 from tallyloom.functions.market import classify_risk, day_folder
 from tallyloom.functions.urls import contains_any, portal_name, url_host
-from tallyloom.operators import alerts, bayes, encode, frames, gold, impute, isolation, keyed, metrics, models
+from tallyloom.operators import alerts, bayes, encode, frames, gold, impute, isolation, keyed, linear, metrics, models
 from tallyloom.operators import pages as pg
 from tallyloom.operators import profile, quality, sampling, sequences, silver, tfidf
 from tallyloom.plans import fixtures as fx
@@ -465,7 +465,8 @@ def i11_rf_text_balanced(spark, d):
 
 def i12_linear_text(spark, d):
     train, test = sampling.split(fx.news(spark, d), "doc_id")
-    return models.predict_text(models.fit_linear(train), test, "doc_id")
+    predicted = linear.predict_linear(linear.fit_linear(train, CLASSES), test)
+    return metrics.align(predicted.select("doc_id", "prediction"), test.select("doc_id", "label"), "doc_id")
 
 
 def _sales_model(spark, d, features):

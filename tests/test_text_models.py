@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import html as H
 from tallyloom.functions import text as txt
 from tallyloom.functions.urls import portal_name, url_host
-from tallyloom.operators import bayes, encode, forest, frames, impute, metrics, models, profile, sampling, sequences, skew, tfidf
+from tallyloom.operators import bayes, encode, forest, frames, impute, linear, metrics, models, profile, sampling, sequences, skew, tfidf
 from tallyloom.operators import pages as pg
 from tallyloom.sources.saved import load_model, save_model
 
@@ -289,14 +289,68 @@ def test_odd_sales_rows(spark):
 def test_text_models(spark):
     rows = [(i, ("good news today" if i % 2 else "fake shock rumour") + f" w{i % 5}", "Real" if i % 2 else "Fake") for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, label string")
-    for predicted in (models.predict_text(models.fit_rf_text(docs, trees=5, ngram=(1, 2)), docs, "doc_id", ngram=(1, 2)),
-                      models.predict_text(models.fit_linear(docs), docs, "doc_id")):
+    linear_guess = metrics.align(linear.predict_linear(linear.fit_linear(docs, ("Fake", "Real")), docs), docs.select("doc_id", "label"), "doc_id")
+    for predicted in (models.predict_text(models.fit_rf_text(docs, trees=5, ngram=(1, 2)), docs, "doc_id", ngram=(1, 2)), linear_guess):
         assert metrics.accuracy(predicted).first()[0] == 1.0
     shares = models.score_text(models.fit_rf_text(docs, trees=5, ngram=(1, 3)), docs, "doc_id", ngram=(1, 3)).collect()
     assert len(shares) == 60 and all(sum(r.probabilities) == pytest.approx(1.0) and r.confidence > 50 for r in shares)
     assert {r.prediction for r in shares if r.doc_id % 2} == {"Real"}
 
 
+def _sparse(spark, docs, y):
+    rows = [(i, float(y[i]), sorted(d), [float(d[t]) for t in sorted(d)]) for i, d in enumerate(docs)]
+    return spark.createDataFrame(rows, "_h long, _y double, ids array<int>, values array<double>")
+
+
+@pytest.mark.parametrize("shards", [1, 3])
+def test_passive_aggressive_passes_equal_brute_force(spark, shards):
+    rng = np.random.default_rng(shards)
+    docs = [{0: 1.0, **{int(t): float(rng.normal()) for t in rng.choice(np.arange(1, 40), 6, replace=False)}} for _ in range(60)]
+    y = [1 if d.get(1, 0) + d.get(2, 0) + rng.normal() * 0.3 > 0 else -1 for d in docs]
+    df = _sparse(spark, docs, y)
+    weights, made = linear.train(df, passes=3, tol=-1e9, rows_per_shard=60 // shards, seed=5)
+    groups = {}
+    for r in df.select("_h", F.pmod(F.xxhash64("_h"), F.lit(shards)).alias("s")).collect():
+        groups.setdefault(r.s, []).append(r["_h"])
+    want = {}
+    for number in range(3):
+        changes = {}
+        for members in groups.values():
+            members = sorted(members)
+            order = [members[i] for i in np.random.default_rng([5, number]).permutation(len(members))]
+            w = dict(want)
+            for i in order:
+                loss = 1.0 - y[i] * sum(w.get(t, 0.0) * v for t, v in docs[i].items())
+                if loss > 0:
+                    step = y[i] * min(1.0, loss / sum(v * v for v in docs[i].values()))
+                    for t, v in docs[i].items():
+                        w[t] = w.get(t, 0.0) + step * v
+            for t in w:
+                changes[t] = changes.get(t, 0.0) + (w[t] - want.get(t, 0.0)) / shards
+        for t, d in changes.items():
+            want[t] = want.get(t, 0.0) + d
+    got = {r.term_id: r.weight for r in weights.collect()}
+    assert made == 3 and {t: pytest.approx(v, abs=1e-9) for t, v in want.items() if t in got} == got
+    assert all(abs(v) < 1e-9 for t, v in want.items() if t not in got)
+
+
+def test_passive_aggressive_text(spark):
+    rng = np.random.default_rng(0)
+    rows = [(i, " ".join([("true" if i % 2 else "false") if rng.random() < 0.8 else "news", *rng.choice([f"w{j}" for j in range(50)], 12)]),
+             "Real" if i % 2 else "Fake") for i in range(300)]
+    docs = spark.createDataFrame([*rows, (900, "true", None), (901, "w1", "Other")], "doc_id long, text string, label string")
+    fits = [linear.fit_linear(docs.repartition(n), ("Fake", "Real"), rows_per_shard=120) for n in (1, 6)]
+    guesses = [{r.doc_id: r.prediction for r in linear.predict_linear(m, docs).collect()} for m in fits]
+    assert guesses[0] == guesses[1] and len(guesses[0]) == 302 and fits[0].passes <= linear.PASSES
+    assert sum(guesses[0][i] == label for i, _, label in rows) > 260 and guesses[0][900] == "Real"
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, "unknownword")], "doc_id long, text string")
+    assert {r.score for r in linear.predict_linear(fits[0], odd).collect()} == {fits[0].weights.filter("term is null").first().weight}
+    empty = linear.fit_linear(docs.limit(0), ("Fake", "Real"))
+    assert empty.passes == 0 and {r.prediction for r in linear.predict_linear(empty, odd).collect()} == {"Fake"}
+    with pytest.raises(ValueError):
+        linear.fit_linear(docs, ("a", "b", "c"))
+
+
 def test_plans(spark, small):
     from tallyloom.operators.gold import reciprocal_pairs_agg
     from tallyloom.plans import fixtures as fx
