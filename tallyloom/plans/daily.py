@@ -8,16 +8,20 @@ from __future__ import annotations
 import datetime
 import logging
 import sys
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom import contracts as K
 from tallyloom.operators import alerts, gold, isolation, quality, silver
 from tallyloom.operators.keyed import EARLIEST_DAY, last_day
-from tallyloom.session import cut_lineage, get_session
-from tallyloom.sources.bronze import day_path, read_floorsheet, read_forex, read_landed, read_or_none
-from tallyloom.sources.tables import append_rows, merge_days, read_table
+from tallyloom.session import cut_lineage, get_session, write_staged
+from tallyloom.sources.bronze import day_path, read_floorsheet, read_forex, read_landed
+from tallyloom.sources.tables import append_rows, days_of, merge_days, overwrite_days, read_table
 
 log = logging.getLogger(__name__)
 
@@ -29,10 +33,39 @@ def table_paths(root: str) -> dict[str, str]:
             "rejected": f"{root}/silver/rejected"}
 
 
-def _documents(spark: SparkSession, root: str, feed: str, day: str, read) -> DataFrame | None:
-    """Raw documents of a day, from landed day partitions or from one file per day."""
-    landed = read_or_none(lambda: read_landed(spark, root, feed).filter(F.col("dt") == F.lit(day).cast("date")).drop("dt"))
-    return landed if landed is not None else read_or_none(lambda: read(spark, day_path(root, feed, day)))
+@dataclass(frozen=True)
+class Feed:
+    """How the documents of one feed become rows of one table."""
+
+    read: Callable[[SparkSession, str], DataFrame]
+    typed: Callable[[DataFrame], DataFrame]
+    first: Callable[[DataFrame], DataFrame]
+    audit: str
+    day: str
+    sort: str
+    contract: T.StructType
+    keys: tuple[str, ...]
+    rules: dict[str, str]
+    table: str
+
+
+FEEDS = {
+    "forex": Feed(read_forex, lambda raw: silver.typed_forex(silver.flatten_forex(raw)), silver.first_rates, "ingested_at",
+                  "rate_date", "currency_iso3", K.FOREX_RATES, K.FOREX_KEYS, K.FOREX_RULES, "forex"),
+    "floorsheet": Feed(read_floorsheet, lambda raw: silver.typed_trades(silver.flatten_trades(raw)), silver.first_trades, "processed_at",
+                       "trade_date", "symbol", K.TRADES, K.TRADE_KEYS, K.TRADE_RULES, "trades"),
+}
+
+
+def _sources(spark: SparkSession, root: str, feed: str, day: str) -> Iterator[DataFrame]:
+    """Raw documents of a day: from landed day partitions, then from one file per day; missing paths are passed over."""
+    for load in (lambda: read_landed(spark, root, feed).filter(F.col("dt") == F.lit(day).cast("date")).drop("dt"),
+                 lambda: FEEDS[feed].read(spark, day_path(root, feed, day))):
+        try:
+            yield load()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
 
 
 def _keep_rejected(rejected: DataFrame, path: str, feed: str, day: str) -> None:
@@ -42,33 +75,58 @@ def _keep_rejected(rejected: DataFrame, path: str, feed: str, day: str) -> None:
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("feed", "run_day").parquet(path))
 
 
+def take_in(documents: DataFrame, feed: str, root: str, run: str, compete: bool = False) -> dict:
+    """Merge documents into the clean table of their feed. Returns documents, rows, rejected, merged, and the days merged.
+
+    The documents are read once: one write puts good and rejected rows into folders of their own and counts both on the way.
+    Rows that miss a required column or break a rule go to the rejected table of ``run``, before one row per key is chosen among
+    the good ones, so a bad version of a key never displaces a good one. With ``compete`` stored and new rows of a key are
+    ranked together, so the cut into runs does not matter; otherwise the new row wins.
+    """
+    spark, plan, paths = documents.sparkSession, FEEDS[feed], table_paths(root)
+    read, typed, kept = Observation(), Observation(), Observation()
+    one = F.lit(1)
+    marked = quality.with_reasons(plan.typed(documents.observe(read, F.count(one).alias("documents"))), plan.rules, K.required_columns(plan.contract))
+    marked = marked.withColumn("rejected", F.col("reasons") != "").observe(typed, F.count(one).alias("rows"), F.count_if("rejected").alias("rejected"))
+    staged = write_staged(marked, "rejected")
+    counts = {"documents": 0, "rows": 0, "rejected": 0} | read.get | typed.get | {"merged": 0, "days": []}
+    if counts["rejected"]:
+        log.warning("%s: %s rows of %s are rejected, see %s", run, counts["rejected"], feed, paths["rejected"])
+        _keep_rejected(staged.filter("rejected").drop("rejected"), paths["rejected"], feed, run)
+    if counts["rows"] == counts["rejected"]:
+        return counts
+    good = plan.first(staged.filter(~F.col("rejected")).drop("rejected", "reasons"))
+    fresh = write_staged(silver.with_audit(good, plan.audit).observe(kept, F.count(one).alias("merged")))
+    counts |= kept.get
+    target = paths[plan.table]
+    stored = read_table(spark, target, plan.contract) if compete else None
+    if stored is not None:
+        both = fresh.unionByName(days_of(stored.select(*fresh.columns), fresh, plan.day))
+        overwrite_days(cut_lineage(plan.first(both)), target, plan.day, plan.sort)
+    elif compete:
+        overwrite_days(fresh, target, plan.day, plan.sort)
+    else:
+        merge_days(fresh, target, plan.keys, plan.contract, plan.day, plan.sort)
+    counts["days"] = [r[0] for r in fresh.select(plan.day).distinct().orderBy(plan.day).collect()]
+    return counts
+
+
 def clean_day(spark: SparkSession, day: str, root: str) -> dict[str, int]:
     """Merge the run's documents into the clean tables; a feed without data is skipped with a warning.
 
-    A document may hold rows of other days: they are merged by key, so nothing stored before is lost. Rows that miss a
-    required column or break a rule go to the rejected table before one row per key is chosen among the good ones. Returns rows merged.
+    A document may hold rows of other days: they are merged by key, so nothing stored before is lost. Returns rows merged.
     """
-    paths, written = table_paths(root), {}
-    feeds = (("forex", read_forex, lambda raw: silver.typed_forex(silver.flatten_forex(raw)), silver.first_rates, "ingested_at",
-              "rate_date", "currency_iso3", K.FOREX_RATES, K.FOREX_KEYS, K.FOREX_RULES),
-             ("floorsheet", read_floorsheet, lambda raw: silver.typed_trades(silver.flatten_trades(raw)), silver.first_trades, "processed_at",
-              "trade_date", "symbol", K.TRADES, K.TRADE_KEYS, K.TRADE_RULES))
-    for feed, read, typed, first, audit, column, sort, contract, keys, rules in feeds:
-        raw = _documents(spark, root, feed, day, read)
-        if raw is None:
+    written = {}
+    for feed in FEEDS:
+        for documents in _sources(spark, root, feed, day):
+            counts = take_in(documents, feed, root, day)
+            if counts["documents"]:
+                written[feed] = counts["merged"]
+                if feed == "floorsheet" and counts["days"]:
+                    written["days"] = counts["days"]
+                break
+        else:
             log.warning("no %s documents for %s, skipped", feed, day)
-            continue
-        target = paths["forex" if feed == "forex" else "trades"]
-        good, rejected = quality.quarantine(cut_lineage(typed(raw)), rules, K.required_columns(contract))
-        if not rejected.isEmpty():
-            log.warning("%s rows of %s are rejected, see %s", feed, day, paths["rejected"])
-            _keep_rejected(rejected, paths["rejected"], feed, day)
-        good = cut_lineage(silver.with_audit(first(good), audit))  # a bad version of a key never displaces a good one
-        written[feed] = good.count()
-        if written[feed]:
-            merge_days(good, target, keys, contract, column, sort)
-            if feed == "floorsheet":
-                written["days"] = [r[0] for r in good.select(column).distinct().orderBy(column).collect()]
     return written
 
 

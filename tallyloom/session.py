@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -35,10 +37,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     context.setCheckpointDir(shared)
-    return shared
+    return context.getCheckpointDir()  # Spark makes a folder of its own in it
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the checkpoint folder, so later reads survive lost executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_staged(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` written to a table in the checkpoint folder and read again; ``by`` names columns that get a folder per value.
+
+    Unlike a checkpoint this is a write, so observed counts are complete afterwards, and a filter on ``by`` reads its folder alone.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,5 +1,7 @@
 """Daily job, landed files, tables, CSV and the stream."""
 
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,6 +54,68 @@ def test_stream_equals_batch(spark, small, tmp_path):
     assert one.exceptAll(two).count() == 0 and two.exceptAll(one).count() == 0
 
 
+def _table(spark, root, name, contract, drop):
+    found = tables.read_table(spark, daily.table_paths(root)[name], contract)
+    return sorted(tuple(r) for r in found.drop(*drop).select(*sorted(set(contract.names) - set(drop))).collect())
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 50])
+def test_stream_treats_bad_rows_as_the_job_does(spark, tmp_path, files_per_batch):
+    rows = [[("c1", "ABC", "1", "2", "5", "10", "100.50", "x"), (None, "ABC", "1", "2", "5", "10", "7", "x")],
+            [("c1", "ABC", "1", "2", "5", "10", "-5.00", "x"), ("zero", "ABC", "1", "2", "0", "10", "100", "x")],
+            [("c1", "ABC", "1", "2", "5", "10", "100.60", "x"), ("c2", "ABC", "2", "1", "5", "10", "n/a", "x"), ("c3", "XYZ", "2", "1", "9", "10", "90", "x")]]
+    batch, live = str(tmp_path / "batch"), str(tmp_path / "live")
+    for i, part in enumerate(rows):
+        doc = spark.createDataFrame([("SUCCESS", "2026-01-05", part)], K.FLOORSHEET_DOCUMENT).withColumn("dt", F.lit("2026-01-05").cast("date"))
+        for root in (batch, live):
+            (doc.coalesce(1).write.mode("append").option("ignoreNullFields", False).partitionBy("dt").json(f"{root}/raw/floorsheet"))
+        if i < 2:
+            stream.run_available(spark, live, str(tmp_path / "progress"), files_per_batch).awaitTermination()
+    stream.run_available(spark, live, str(tmp_path / "progress"), files_per_batch).awaitTermination()
+    daily.run_day(spark, "2026-01-05", batch)
+    for name, contract, drop in (("trades", K.TRADES, ["processed_at"]), ("fact", K.BROKER_SUMMARY, ["created_at"])):
+        assert _table(spark, live, name, contract, drop) == _table(spark, batch, name, contract, drop)
+    assert [r[0] for r in tables.read_table(spark, daily.table_paths(live)["trades"], K.TRADES).filter("contract_id = 'c1'").select("total_amount").collect()] == [Decimal("100.50")]
+    reasons = [sorted((r["feed"], r["reasons"], r["row"]) for r in spark.read.parquet(daily.table_paths(root)["rejected"]).collect()) for root in (batch, live)]
+    assert reasons[0] == reasons[1] and [r[1] for r in reasons[0]] == ["amount_not_negative", "contract_id_missing", "quantity_positive", "total_amount_missing"]
+
+
+def test_forex_stream_and_trade_alerts(spark, small, tmp_path):
+    batch, live = str(tmp_path / "batch"), str(tmp_path / "live")
+    documents = fx.forex_documents(spark, small).limit(40).withColumn("dt", F.lit("1998-06-15").cast("date"))
+    for root in (batch, live):
+        bronze.land_bronze(documents, root, "forex")
+        land(spark, small, root, DAYS[:1])
+    alerts = daily.run_day(spark, DAYS[0], batch)["alerts"]
+    for feed in ("forex", "floorsheet"):
+        stream.run_available(spark, live, str(tmp_path / feed), feed=feed).awaitTermination()
+    assert alerts > 0 and _table(spark, live, "alerts", K.RISK_ALERTS, ["created_at"]) == _table(spark, batch, "alerts", K.RISK_ALERTS, ["created_at"])
+    rates = _table(spark, live, "forex", K.FOREX_RATES, ["ingested_at"])
+    assert rates and rates == _table(spark, batch, "forex", K.FOREX_RATES, ["ingested_at"])
+
+
+def test_intake_reads_documents_once_and_counts_on_the_way(spark, small, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    documents = fx.floorsheet_documents(spark, small).limit(300)
+    n = documents.count()
+    counts = daily.take_in(documents.mapInArrow(seen, documents.schema), "floorsheet", str(tmp_path), "run")
+    stored = tables.read_table(spark, daily.table_paths(str(tmp_path))["trades"], K.TRADES)
+    assert reads.value == counts["documents"] == n and stored.count() == counts["merged"] > 0
+    assert counts["rejected"] == spark.read.parquet(daily.table_paths(str(tmp_path))["rejected"]).count() > 0
+    assert [r[0] for r in stored.select("trade_date").distinct().orderBy("trade_date").collect()] == counts["days"]
+
+
+def test_checkpoint_folder_is_the_same_at_every_call(spark):
+    from tallyloom.session import ensure_checkpoint_dir
+    assert ensure_checkpoint_dir(spark) == ensure_checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
+
+
 def test_fallback_document(spark, tmp_path):
     failed = spark.createDataFrame([(None, None, None)], bronze.FLOORSHEET_DOCUMENT)
     bronze.land_bronze(bronze.with_fallback(failed, F.lit("2026-01-05")), str(tmp_path), "floorsheet")
