@@ -7,6 +7,7 @@ import math
 import random
 import zlib
 from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -81,6 +82,71 @@ def test_main_text():
     assert line_blocks.main_text("<ARTICLE><P>Upper < case & co</P></ARTICLE>") == "Upper < case & co"
 
 
+LONG = "A text without any marks that is long enough. " * 5
+LINKS = "".join(f'<li><a href="{i}">link {i}</a></li>' for i in range(40))
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<body><div><p>{LONG * 3}</p><p>Yes.</p><p>{LONG * 3}</p></div><article><p>Teaser one</p></article></body>", f"{LONG * 3}Yes. {LONG * 3}".strip()),
+    (f'<article><div class="content-header"><h1>Head line</h1></div><p>{LONG}</p></article>', f"Head line {LONG}".strip()),
+    (f"<article><h1>Head</h1><p>{LONG}</p><ul>{LINKS}</ul></article>", f"Head {LONG}".strip()),
+    (f"<body><div>Home</div><div>News</div><div>Sport</div><p>{LONG}</p><p>Yes.</p><p>{LONG}</p><div>Imprint</div><div>Contact</div></body>", f"{LONG}Yes. {LONG}".strip()),
+    (f"<body><ul>{LINKS}</ul><h1>Head</h1><p>{LONG}</p><ul>{LINKS}</ul><p>{LONG}</p></body>", f"Head {LONG}{LONG}".strip()),
+    ('<article><header><h1>Head</h1></header><p>One <a href="x">link</a></p><p><a href="y">Two</a></p><p>End</p></article>', "Head One link Two End"),
+    ('<body><header>Site</header><article><div class="user-comments">no</div><div class="has-sidebar ads-free">yes</div><p hidden>no</p><p data-hidden="1">on</p></article>', "yes on"),
+    ('<article><p class="notice">no</p><span class="share">in</span><div id="ad-300x250">no</div><section role="complementary">no</section><p>words</p></article>', "in words"),
+    (f"<article><ul>{LINKS}</ul></article>", ""), ("<article></article><div>x", "x"), ("<p>" * 5000 + "deep", "deep"),
+])
+def test_main_text_by_surge_and_dive(page, want):
+    assert line_blocks.main_text(page) == want
+
+
+def test_window_sums():
+    sizes = np.array([0, 5, 0, 0, 0, 7])
+    assert line_blocks.window_sums(sizes).tolist() == [5, 5, 0, 7] and line_blocks.window_sums(sizes[:2]).tolist() == [5]
+    assert line_blocks.marked_lines(sizes).tolist() == [True, True, False, False, False, True]
+    assert line_blocks.window_sums(sizes[:0]).tolist() == []
+
+
+class _Blocks(HTMLParser):
+    """Text of a page of the table by a parser, without the parts that its markup names as no article; no look at ``article``."""
+
+    def __init__(self, page):
+        super().__init__(convert_charrefs=True)
+        self.out, self.off = [], 0
+        self.feed(page)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        if self.off or tag in ("head", "nav", "footer", "script") or ("class", "ad") in attrs:
+            self.off += tag not in ("meta", "br", "img", "link")
+        self.out += [" "] * (tag in ("p", "h1", "br"))
+
+    def handle_endtag(self, tag):
+        self.off -= bool(self.off)
+        self.out += [" "] * (tag in ("p", "h1"))
+
+    def handle_data(self, data):
+        self.out += [data] * (not self.off)
+
+
+@pytest.mark.parametrize("element, least", [("article", 1.0), ("main", 1.0), ("div", 0.95)])
+def test_main_text_equals_a_parsers(spark, element, least):
+    pages = [r["html"] for r in table(spark, "/root/testdata/sf0.01", "pages").collect()]
+    changed = [p.replace("<article>", f"<{element}>").replace("</article>", f"</{element}>") for p in pages]
+    same = sum(line_blocks.main_text(c) == " ".join("".join(_Blocks(p).out).split()) for c, p in zip(changed, pages))
+    assert same >= least * len(pages)
+
+
+def test_main_text_of_odd_rows(spark):
+    rows = [(1, "u", PAGE, 5), (1, "u", PAGE, 5), (None, None, None, 1), (2, "u", "", 2), (3, "u", "<article><p>" + "long " * 200_000 + "</p></article>", 3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars int").withColumn("lines", F.lit(1)).withColumn("text", F.lit("old"))
+    got = line_blocks.op4_main_text(pages).collect()
+    assert sorted((r["page_id"] or 0, r["n_chars"]) for r in got) == [(0, 0), (1, 77), (1, 77), (2, 0), (3, 999_999)]
+    kept = line_blocks.extract(pages.drop("text"))
+    assert kept.columns == ["page_id", "url", "n_chars", "lines", "text"] and line_blocks.op4_main_text(pages.limit(0)).count() == 0
+
+
 def test_main_text_of_pages(spark, small):
     pages = table(spark, small, "pages")
     got = line_blocks.op4_main_text(pages).join(pages.select("page_id", "html"), "page_id").collect()
