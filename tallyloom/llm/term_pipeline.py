@@ -55,22 +55,26 @@ def item_terms(items: DataFrame, key: str = "item_id", text: str = "text") -> tu
     return numbered.drop("text"), written(wanted.select("term", "bundle", F.col("w.slot").alias("slots"), F.col("w.times").alias("times")))
 
 
-def corpus_size(docs: DataFrame, text: str = "text") -> tuple[int, int]:
-    """Documents with a term, and the terms of all documents."""
-    n = F.regexp_count(text_of(F.col(text).cast("string")), F.lit(TERM)).cast("bigint")
-    found = docs.select(n.alias("n")).filter("n > 0").agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    return int(found[0]), int(found[1])
-
-
-def postings(docs: DataFrame, terms: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(row, doc_id, n, term, tf): the query terms of each document, one row each.
+def postings(docs: DataFrame, terms: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(row, doc_id, n, term, tf): the query terms of each document, one row each; and (row, doc_id, n): the documents with terms.
 
-    A row's number names its partition and place there, so a block of numbers never has more than ``BLOCK`` documents. The
-    table is written, which fixes the numbers.
+    A row's number names its partition and place there, so a block of numbers never has more than ``BLOCK`` documents. Texts
+    are read once: each document brings an empty term along, which stands for itself. The table is written, which fixes the
+    numbers.
     """
     read = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("bigint").alias("doc_id"), terms_of(F.col(text)).alias("terms"))
-    each = read.select("row", "doc_id", F.size("terms").cast("bigint").alias("n"), F.explode_outer("terms").alias("term"))
-    return written(each.join(terms.select("term").distinct(), "term").groupBy("row", "doc_id", "n", "term").agg(F.count(F.lit(1)).alias("tf")))
+    sized = read.withColumn("n", F.size("terms").cast("bigint"))
+    each = sized.select("row", "doc_id", "n", F.explode(F.when(F.col("n") > 0, F.array_append("terms", F.lit("")))).alias("term"))
+    asked = terms.select("term").unionByName(docs.sparkSession.range(1).select(F.lit("").alias("term"))).distinct()
+    found = each.join(asked, "term").groupBy("row", "doc_id", "n", "term").agg(F.count(F.lit(1)).alias("tf"))
+    table = written(found.withColumn("whole", F.col("term") == ""), "whole")
+    return table.filter(~F.col("whole")).drop("whole"), table.filter("whole").select("row", "doc_id", "n")
+
+
+def corpus_size(named: DataFrame) -> tuple[int, int]:
+    """Documents with a term, and the terms of all documents."""
+    found = named.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    return int(found[0]), int(found[1])
 
 
 def contributions(found: DataFrame, n_docs: int, n_terms: int) -> DataFrame:
@@ -98,10 +102,9 @@ def owned(parts: DataFrame, wanted: DataFrame) -> DataFrame:
         F.col("p.doc").alias("docs"), F.col("p.part").alias("parts"), "slots", "times")
 
 
-def directory(found: DataFrame, stages: DataFrame) -> DataFrame:
+def directory(documents: DataFrame, stages: DataFrame) -> DataFrame:
     """In the form of ``owned``, without slots: the ids of a block's documents, for each bundle with a term there."""
-    named = found.select("row", "doc_id").distinct().select(_block(), _doc(), "doc_id")
-    of_block = named.groupBy("block").agg(F.collect_list(F.struct("doc", "doc_id")).alias("p"))  # at most BLOCK documents
+    of_block = documents.select(_block(), _doc(), "doc_id").groupBy("block").agg(F.collect_list(F.struct("doc", "doc_id")).alias("p"))  # at most BLOCK documents
     here = stages.select("bundle", "block").distinct()
     return of_block.join(here, "block").select("bundle", "block", F.col("p.doc").alias("docs"), F.col("p.doc_id").alias("parts"),
                                                F.array().cast("array<smallint>").alias("slots"), F.array().cast("array<bigint>").alias("times"))
@@ -168,9 +171,8 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP, key: str = "doc_id
            item_text: str = "text") -> DataFrame:
     """(item_id, rank, doc_id, score): the ``top`` documents of each item."""
     numbered, wanted = item_terms(items, item_key, item_text)
-    n_docs, n_terms = corpus_size(docs, text)
-    found = postings(docs, wanted, key, text)
-    stages = written(owned(contributions(found, n_docs, n_terms), wanted), "owner")
+    found, documents = postings(docs, wanted, key, text)
+    stages = written(owned(contributions(found, *corpus_size(documents)), wanted), "owner")
     at = ["bundle", "block"]
     carried = docs.sparkSession.createDataFrame([], CARRIED)
     for owner in range(OWNERS):
@@ -178,7 +180,7 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP, key: str = "doc_id
         if owner < OWNERS - 1:
             carried = carried.groupBy(*at).cogroup(here.groupBy(*at)).applyInArrow(_add, CARRIED)
         else:
-            here = here.unionByName(directory(found, stages))
+            here = here.unionByName(directory(documents, stages))
             carried = carried.groupBy(*at).cogroup(here.groupBy(*at)).applyInArrow(_select(top), BEST)
     order = [F.desc("score"), F.asc_nulls_last("doc_id"), F.asc("block"), F.asc("doc")]
     rank = F.row_number().over(Window.partitionBy("bundle", "slot").orderBy(*order))
