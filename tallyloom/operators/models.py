@@ -1,15 +1,10 @@
-"""Text classifiers from Spark MLlib, and the sales regressor."""
+"""The sales regressor: attributes, fit, batch scores and importances."""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import IDF, CountVectorizer, Normalizer, StringIndexer
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.text import ngrams, tokens
 from tallyloom.operators.forest import ROWS_PER_TREE, Forest, fit_forest, forest_importances, score_forest
 from tallyloom.operators.frames import ordinal, years_since
 
@@ -19,51 +14,7 @@ SIZE_CODES = {"Small": 0, "Medium": 1, "High": 2}
 # The attributes of a scoring row, in order.
 SALES_ATTRIBUTES = ("item_weight", "fat_code", "item_visibility", "item_mrp", "size_code", "outlet_years")
 
-TEXT_TREES, TEXT_TREES_BALANCED, SALES_TREES, SEED = 100, 200, 100, 42
-#: MLlib's own limits, where the caller gives none.
-DEEPEST, ALL_TERMS = 30, (1 << 31) - 1
-
-
-def with_terms(docs: DataFrame, text: str = "text", ngram=(1, 1), name: str = "terms") -> DataFrame:
-    """Add the word (or n-gram) list the text models read."""
-    return docs.withColumn(name, ngrams(tokens(F.coalesce(F.col(text), F.lit(""))), *ngram))
-
-
-def _text_stages(vocab: int, min_df: float, max_df: float, label: str) -> list:
-    # The vocabulary is the one thing MLlib gathers on the driver; a caller bounds it with ``vocab``.
-    return [
-        CountVectorizer(inputCol="terms", outputCol="tf", vocabSize=vocab, minDF=min_df, maxDF=max_df),
-        IDF(inputCol="tf", outputCol="tfidf"),
-        Normalizer(inputCol="tfidf", outputCol="features"),
-        StringIndexer(inputCol=label, outputCol="label_code", stringOrderType="alphabetAsc", handleInvalid="keep"),
-    ]
-
-
-def fit_rf_text(docs: DataFrame, trees: int = TEXT_TREES, ngram=(1, 2), vocab: int = ALL_TERMS,
-                label: str = "label", text: str = "text", seed: int = SEED, max_depth: int = DEEPEST) -> PipelineModel:
-    """Random forest over TF-IDF vectors. Terms and depth are limited only where the caller says so."""
-    forest = RandomForestClassifier(featuresCol="features", labelCol="label_code", numTrees=trees, seed=seed,
-                                    featureSubsetStrategy="sqrt", maxDepth=max_depth)
-    stages = _text_stages(vocab, 1.0, 2.0 ** 62, label)
-    return Pipeline(stages=[*stages, forest]).fit(with_terms(docs, text, ngram))
-
-
-def score_text(model: PipelineModel, docs: DataFrame, key: str, ngram=(1, 1), text: str = "text") -> DataFrame:
-    """Class probabilities and the confidence in percent of a forest: (key, prediction, probabilities, confidence)."""
-    scored = class_probabilities(model.transform(with_terms(docs, text, ngram)))
-    return scored.select(key, _class_name(model).alias("prediction"), "probabilities", "confidence")
-
-
-def _class_name(model: PipelineModel) -> Column:
-    names = next(s for s in model.stages if s.__class__.__name__ == "StringIndexerModel").labels
-    return F.get(F.array(*[F.lit(n) for n in names]), F.col("prediction").cast("int"))
-
-
-def predict_text(model: PipelineModel, docs: DataFrame, key: str, ngram=(1, 1), text: str = "text",
-                 label: str = "label") -> DataFrame:
-    """Class name per document: (key, label, prediction)."""
-    scored = model.transform(with_terms(docs, text, ngram))
-    return scored.select(key, label, _class_name(model).alias("prediction"))
+TEXT_TREES_BALANCED, SALES_TREES, SEED = 200, 100, 42
 
 
 def sales_attributes(df: DataFrame) -> DataFrame:
@@ -92,9 +43,3 @@ def importances(model: Forest) -> DataFrame:
 def top_importances(model: Forest, n: int = 7) -> DataFrame:
     """The ``n`` most important features."""
     return importances(model).orderBy(F.desc("importance"), "feature").limit(n)
-
-
-def class_probabilities(scored: DataFrame) -> DataFrame:
-    """MLlib probability vectors as arrays, with the confidence in percent."""
-    return scored.withColumn("probabilities", vector_to_array("probability")).withColumn(
-        "confidence", F.array_max("probabilities") * 100.0)

@@ -12,7 +12,7 @@ from tallyloom.functions.market import classify_risk, day_folder
 from tallyloom.functions.urls import contains_any, portal_name, url_host
 from tallyloom.operators import alerts, bayes, encode, frames, gold, impute, isolation, keyed, linear, metrics, models
 from tallyloom.operators import pages as pg
-from tallyloom.operators import profile, quality, sampling, sequences, silver, tfidf
+from tallyloom.operators import profile, quality, sampling, sequences, silver, text_forest, tfidf
 from tallyloom.plans import fixtures as fx
 from tallyloom.sources.files import read_labelled
 from tallyloom.sources.tables import register_views
@@ -452,15 +452,15 @@ def d12_balanced_report(spark, d):
 
 def i11_rf_text(spark, d):
     train, test = sampling.split(fx.news(spark, d), "doc_id")
-    model = models.fit_rf_text(train, ngram=(1, 2))
-    return models.predict_text(model, test, "doc_id", ngram=(1, 2))
+    predicted = text_forest.score_text_forest(text_forest.fit_text_forest(train, ngram=(1, 2)), test)
+    return metrics.align(predicted.select("doc_id", "prediction"), test.select("doc_id", "label"), "doc_id")
 
 
 def i11_rf_text_balanced(spark, d):
     """Twice the trees over one to three words, fitted on classes of one size; probabilities per test document."""
     train, test = sampling.split(_even_news(spark, d), "doc_id")
-    model = models.fit_rf_text(train, trees=models.TEXT_TREES_BALANCED, ngram=(1, 3), vocab=tfidf.VOCABULARY)
-    return models.score_text(model, test, "doc_id", ngram=(1, 3))
+    model = text_forest.fit_text_forest(train, trees=models.TEXT_TREES_BALANCED, ngram=(1, 3), vocab=tfidf.VOCABULARY)
+    return text_forest.score_text_forest(model, test)
 
 
 def i12_linear_text(spark, d):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import html as H
 from tallyloom.functions import text as txt
 from tallyloom.functions.urls import portal_name, url_host
-from tallyloom.operators import bayes, encode, forest, frames, impute, linear, metrics, models, profile, sampling, sequences, skew, tfidf
+from tallyloom.operators import bayes, encode, forest, frames, impute, linear, metrics, models, profile, sampling, sequences, skew, text_forest, tfidf
 from tallyloom.operators import pages as pg
 from tallyloom.sources.saved import load_model, save_model
 
@@ -289,14 +289,93 @@ def test_odd_sales_rows(spark):
 def test_text_models(spark):
     rows = [(i, ("good news today" if i % 2 else "fake shock rumour") + f" w{i % 5}", "Real" if i % 2 else "Fake") for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, label string")
-    linear_guess = metrics.align(linear.predict_linear(linear.fit_linear(docs, ("Fake", "Real")), docs), docs.select("doc_id", "label"), "doc_id")
-    for predicted in (models.predict_text(models.fit_rf_text(docs, trees=5, ngram=(1, 2)), docs, "doc_id", ngram=(1, 2)), linear_guess):
-        assert metrics.accuracy(predicted).first()[0] == 1.0
-    shares = models.score_text(models.fit_rf_text(docs, trees=5, ngram=(1, 3)), docs, "doc_id", ngram=(1, 3)).collect()
+    forests = [text_forest.fit_text_forest(docs, trees=5, ngram=(1, n)) for n in (2, 3)]
+    for scored in (text_forest.score_text_forest(forests[0], docs), linear.predict_linear(linear.fit_linear(docs, ("Fake", "Real")), docs)):
+        guess = metrics.align(scored.select("doc_id", "prediction"), docs.select("doc_id", "label"), "doc_id")
+        assert metrics.accuracy(guess).first()[0] == 1.0
+    shares = text_forest.score_text_forest(forests[1], docs).collect()
     assert len(shares) == 60 and all(sum(r.probabilities) == pytest.approx(1.0) and r.confidence > 50 for r in shares)
     assert {r.prediction for r in shares if r.doc_id % 2} == {"Real"}
 
 
+def _cuts(x, y, w, classes, depth):
+    """A tree on dense rows by trying every cut of every term: nested (term, threshold, left, right) or class shares."""
+    total = np.bincount(y, weights=w, minlength=classes)
+    if depth == 0 or (total > 0).sum() < 2:
+        return total / total.sum()
+    best = None
+    for t in range(1, x.shape[1]):
+        for low, high in zip(np.unique(x[:, t]), np.unique(x[:, t])[1:]):
+            sides = [np.bincount(y[s], weights=w[s], minlength=classes) for s in (x[:, t] <= low, x[:, t] > low)]
+            score = sum((s * s).sum() / s.sum() for s in sides)
+            if best is None or score > best[0] + 1e-9:
+                best = (score, t, (low + high) / 2)
+    if best is None:
+        return total / total.sum()
+    left = x[:, best[1]] <= best[2]
+    return best[1], best[2], _cuts(x[left], y[left], w[left], classes, depth - 1), _cuts(x[~left], y[~left], w[~left], classes, depth - 1)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_a_text_tree_equals_one_by_brute_force(seed):
+    rng, n, terms, classes = np.random.default_rng(seed), 60, 12, 3
+    sparse = lambda rows: np.where(rng.random((rows, terms + 1)) < 0.4, rng.random((rows, terms + 1)).round(3), 0.0)
+    x, y, w = sparse(n), rng.integers(0, classes, n), rng.integers(1, 4, n).astype(float)
+    x[:, 0] = 1.0
+    doc, term = np.nonzero(x)
+    order = np.lexsort((x[doc, term], term))
+    entries = doc[order], term[order], x[doc, term][order]
+    grown, whole = text_forest.grow_tree(*entries, y, w, classes, 1, max_depth=3), _cuts(x, y, w, classes, 3)
+    for points in (x, sparse(50)):
+        d, t = np.nonzero(points)
+        got = text_forest.tree_shares(grown, d * (terms + 1) + t, points[d, t], len(points), terms)
+        assert np.allclose(got, [_cart_value(whole, r) for r in points])
+    full = text_forest.grow_tree(*entries, y, w, classes, terms, salt=seed)
+    got = text_forest.tree_shares(full, np.sort(doc * (terms + 1) + term), x[np.nonzero(x)], n, terms)
+    assert (got[np.arange(n), y] == 1.0).all() and full["depth"] > 3
+
+
+def test_text_forest_draws():
+    keys = np.arange(100_000, dtype=np.uint64)
+    times = text_forest.bootstrap(keys, 3)
+    assert abs(times.mean() - 1) < 0.02 and abs((times > 0).mean() - 0.632) < 0.01 and (times != text_forest.bootstrap(keys, 4)).any()
+    u = text_forest.uniform(keys, 0)
+    assert 0 <= u.min() and u.max() < 1 and abs(u.mean() - 0.5) < 0.01
+
+
+def test_text_forest_does_not_depend_on_partitions_or_blocks(spark, monkeypatch, tmp_path):
+    rng = np.random.default_rng(0)
+    rows = [(i, " ".join([("true" if i % 2 else "false") if rng.random() < 0.9 else "news", *rng.choice([f"w{j}" for j in range(60)], 15)]),
+             "Real" if i % 2 else "Fake") for i in range(200)]
+    docs = spark.createDataFrame([*rows, (900, "true news", None), (901, None, "Other"), (902, "", "Other")], "doc_id long, text string, label string")
+    fits = [text_forest.fit_text_forest(docs.repartition(n), trees=23, ngram=(1, 1)) for n in (1, 6)]
+    assert fits[0].table.exceptAll(fits[1].table).count() == 0 and fits[0].classes == ("Fake", "Other", "Real")
+    first = text_forest.score_text_forest(fits[0], docs).orderBy("doc_id").collect()
+    monkeypatch.setattr(text_forest, "DOCS_PER_BLOCK", 30)
+    save_model(fits[1], str(tmp_path / "m"))
+    assert text_forest.score_text_forest(load_model(str(tmp_path / "m")), docs).orderBy("doc_id").collect() == first
+    assert len(first) == 203 and sum(r.prediction == label for r, (_, _, label) in zip(first, rows)) > 180
+    assert first[200].prediction == "Real" and first[201].prediction == "Other"
+    few = text_forest.fit_text_forest(docs, trees=11, ngram=(1, 1), docs_per_group=50, max_depth=2)
+    assert few.table.count() == 11 and few.table.agg(F.max("depth")).first()[0] == 2
+    empty = text_forest.fit_text_forest(docs.limit(0), trees=2)
+    assert {r.prediction for r in text_forest.score_text_forest(empty, docs).collect()} == {None}
+
+
+def test_many_more_terms_than_documents(spark):
+    """A hundred times as many terms as documents."""
+    docs = spark.range(0, 3000, 1, 8).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.transform(
+        F.sequence(F.lit(0), F.lit(99)), lambda i: F.concat(F.lit("t"), (F.col("id") * 100 + i).cast("string"))), F.when(F.col("id") % 2 == 0, "even").otherwise("odd")).alias("text"),
+        F.when(F.col("id") % 2 == 0, "Fake").otherwise("Real").alias("label"))
+    model = linear.fit_linear(docs, ("Fake", "Real"), passes=3, rows_per_shard=1000)
+    assert model.vocabulary.terms.count() == 300_002
+    right = linear.predict_linear(model, docs).join(docs.select("doc_id", "label"), "doc_id").filter("prediction = label").count()
+    assert right > 2500
+    few = docs.filter("doc_id < 300")
+    forest_guess = text_forest.score_text_forest(text_forest.fit_text_forest(few, trees=10, ngram=(1, 1)), few)
+    assert forest_guess.join(few.select("doc_id", "label"), "doc_id").filter("prediction = label").count() > 250
+
+
 def _sparse(spark, docs, y):
     rows = [(i, float(y[i]), sorted(d), [float(d[t]) for t in sorted(d)]) for i, d in enumerate(docs)]
     return spark.createDataFrame(rows, "_h long, _y double, ids array<int>, values array<double>")
