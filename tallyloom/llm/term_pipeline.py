@@ -37,6 +37,7 @@ GAPS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 OWNERS, BUNDLE, BLOCK_BITS = 4, 128, 12
 BLOCK = 1 << BLOCK_BITS
 TOP = 20
+ITSELF = -1  # the number of the empty term that every document brings along
 CARRIED = "bundle bigint, block bigint, slot smallint, docs binary, sums binary"
 BEST = "bundle bigint, block bigint, slot smallint, doc smallint, doc_id bigint, score bigint"
 
@@ -46,17 +47,18 @@ def terms_of(text: Column) -> Column:
 
 
 def item_terms(items: DataFrame, key: str = "item_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """The items with their bundle and slot, and (term, bundle, slots, times): where each term is asked for."""
+    """The items with their bundle and slot, and (term, term_id, bundle, slots, times): where each term is asked for."""
     plain = items.select(F.col(key).alias("item_id"), F.col(text).cast("string").alias("text"))
     numbered = written(ranked(plain, ["item_id", "text"], "number").select(
         "item_id", "text", F.floor(F.col("number") / BUNDLE).alias("bundle"), F.pmod("number", F.lit(BUNDLE)).cast("smallint").alias("slot")))
     asked = numbered.select("bundle", "slot", F.explode(terms_of(F.col("text"))).alias("term")).groupBy("term", "bundle", "slot").agg(F.count(F.lit(1)).alias("times"))
     wanted = asked.groupBy("term", "bundle").agg(F.collect_list(F.struct("slot", "times")).alias("w"))  # at most BUNDLE slots
-    return numbered.drop("text"), written(wanted.select("term", "bundle", F.col("w.slot").alias("slots"), F.col("w.times").alias("times")))
+    numbers = ranked(asked.select("term").distinct(), ["term"], "term_id")
+    return numbered.drop("text"), written(wanted.join(numbers, "term").select("term", "term_id", "bundle", F.col("w.slot").alias("slots"), F.col("w.times").alias("times")))
 
 
 def postings(docs: DataFrame, terms: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(row, doc_id, n, term, tf): the query terms of each document, one row each; and (row, doc_id, n): the documents with terms.
+    """(row, doc_id, n, term_id, tf): the query terms of each document, one row each; and (row, doc_id, n): the documents with terms.
 
     A row's number names its partition and place there, so a block of numbers never has more than ``BLOCK`` documents. Texts
     are read once: each document brings an empty term along, which stands for itself. The table is written, which fixes the
@@ -64,11 +66,12 @@ def postings(docs: DataFrame, terms: DataFrame, key: str = "doc_id", text: str =
     """
     read = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("bigint").alias("doc_id"), terms_of(F.col(text)).alias("terms"))
     sized = read.withColumn("n", F.size("terms").cast("bigint"))
-    each = sized.select("row", "doc_id", "n", F.explode(F.when(F.col("n") > 0, F.array_append("terms", F.lit("")))).alias("term"))
-    asked = terms.select("term").unionByName(docs.sparkSession.range(1).select(F.lit("").alias("term"))).distinct()
-    found = each.join(asked, "term").groupBy("row", "doc_id", "n", "term").agg(F.count(F.lit(1)).alias("tf"))
-    table = written(found.withColumn("whole", F.col("term") == ""), "whole")
-    return table.filter(~F.col("whole")).drop("whole"), table.filter("whole").select("row", "doc_id", "n")
+    # An outer generator: for an inner one Spark infers a filter on the array and makes it twice.
+    each = sized.select("row", "doc_id", "n", F.explode_outer(F.when(F.col("n") > 0, F.array_append("terms", F.lit("")))).alias("term"))
+    itself = docs.sparkSession.range(1).select(F.lit("").alias("term"), F.lit(ITSELF).alias("term_id"))
+    asked = terms.select("term", "term_id").distinct().unionByName(itself)
+    table = written(each.join(asked, "term").groupBy("row", "doc_id", "n", "term_id").agg(F.count(F.lit(1)).alias("tf")))
+    return table.filter(F.col("term_id") != ITSELF), table.filter(F.col("term_id") == ITSELF).select("row", "doc_id", "n")
 
 
 def corpus_size(named: DataFrame) -> tuple[int, int]:
@@ -78,12 +81,12 @@ def corpus_size(named: DataFrame) -> tuple[int, int]:
 
 
 def contributions(found: DataFrame, n_docs: int, n_terms: int) -> DataFrame:
-    """(block, doc, term, part): what one occurrence of the term in a query adds to the document's score."""
-    df = found.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    """(block, doc, term_id, part): what one occurrence of the term in a query adds to the document's score."""
+    df = found.groupBy("term_id").agg(F.count(F.lit(1)).alias("df"))
     weight = F.floor(F.log(F.lit(2.0 * n_docs + 2.0) / (F.col("df") * 2 + 1)) * 1000)
-    weights = df.select("term", weight.cast("bigint").alias("w")).filter("w > 0")
+    weights = df.select("term_id", weight.cast("bigint").alias("w")).filter("w > 0")
     part = F.expr(f"w * ((1000000000 * tf) div (1000 * tf + 12 * (75 + ((25 * n * {n_docs}L) div {max(n_terms, 1)}L))))")
-    return found.join(weights, "term").select(_block(), _doc(), "term", part.alias("part"))
+    return found.join(weights, "term_id").select(_block(), _doc(), "term_id", part.alias("part"))
 
 
 def _block() -> Column:
@@ -96,9 +99,9 @@ def _doc() -> Column:
 
 def owned(parts: DataFrame, wanted: DataFrame) -> DataFrame:
     """(owner, bundle, block, docs, parts, slots, times): the postings of one term in one block, for each bundle that asks for it."""
-    lists = parts.groupBy("block", "term").agg(F.collect_list(F.struct("doc", "part")).alias("p"))  # at most BLOCK documents
-    return lists.join(wanted, "term").select(
-        F.pmod(F.xxhash64("term"), F.lit(OWNERS)).cast("int").alias("owner"), "bundle", "block",
+    lists = parts.groupBy("block", "term_id").agg(F.collect_list(F.struct("doc", "part")).alias("p"))  # at most BLOCK documents
+    return lists.join(wanted.drop("term"), "term_id").select(
+        F.pmod(F.xxhash64("term_id"), F.lit(OWNERS)).cast("int").alias("owner"), "bundle", "block",
         F.col("p.doc").alias("docs"), F.col("p.part").alias("parts"), "slots", "times")
 
 
