@@ -9,7 +9,8 @@ from tallyloom.functions import html as H
 from tallyloom.functions.urls import normalise_url, portal_name, url_host
 from tallyloom.operators.frames import unnest
 from tallyloom.operators.keyed import dedupe
-from tallyloom.operators.skew import ROWS_PER_TASK, hot_keys, spread_join
+from tallyloom.operators.skew import ROWS_PER_TASK, address_filter, hot_keys, spread_join, with_filter
+from tallyloom.session import cut_lineage
 
 MIN_BODY = 100
 
@@ -75,15 +76,18 @@ def claim_listing(pages: DataFrame) -> DataFrame:
 
 def join_claim_pages(listing: DataFrame, pages: DataFrame, label: str = "Fake",
                      rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """The page behind each entry's link, as news rows. Text is cut out before the join, html is not shuffled.
+    """The page behind each entry's link, as news rows. Only bodies of linked pages are cut, and html is not shuffled.
 
-    Of several stored pages of one address the first by id is used. Addresses linked very often are split.
+    A bitmap of the linked addresses, of a fixed size, goes to the pages first; the few other pages that pass it find no entry
+    in the join. Of several stored pages of one address the first by id is used. Addresses linked very often are split.
     """
-    keyed = pages.select("page_id", normalise_url(F.col("url")).alias("address"))
-    first = dedupe(keyed.filter(F.col("address").isNotNull()), ["address"], ["page_id"])
-    texts = pages.select("page_id", H.page_body(F.col("html"), **BODY_RULES["claim"]).alias("Text"))
+    entries = cut_lineage(listing.withColumn("address", normalise_url(F.col("link"))))
+    linked = address_filter(entries, "address")
+    keyed = with_filter(pages.select("page_id", normalise_url(F.col("url")).alias("address")), "address", linked)
+    first = dedupe(keyed, ["address"], ["page_id"])
+    found = with_filter(pages.select("page_id", "html", normalise_url(F.col("url")).alias("address")), "address", linked)
+    texts = found.select("page_id", H.page_body(F.col("html"), **BODY_RULES["claim"]).alias("Text"))
     behind = first.join(texts, "page_id").select("address", "Text")
-    entries = listing.withColumn("address", normalise_url(F.col("link")))
     hot = hot_keys(entries, "address", rows_per_task)
     joined = spread_join(entries, behind, "address", hot, spread_by=["page_id", "pos"])
     return joined.select("page_id", "pos", F.col("link").alias("URL"), F.col("title").alias("Title"), "Text",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.text import REST, sequence_words
 from tallyloom.operators.frames import unnest
-from tallyloom.operators.skew import ROWS_PER_TASK, global_rank, hot_keys, spread_join
+from tallyloom.operators.skew import ROWS_PER_TASK, global_rank, hot_keys, running_total, spread_join
 from tallyloom.session import cut_lineage
 
 
@@ -58,6 +58,36 @@ def pad_left(seqs: DataFrame, seq: str = "seq", length: Column | None = None) ->
             .withColumn("y", F.element_at(seq, -1)).drop("_m"))
 
 
+def ragged_sequences(encoded: DataFrame, keys, ids: str = "ids") -> DataFrame:
+    """Lines with two or more ids, each stored once: (*keys, ids, n_prefixes, first), kept.
+
+    ``first`` counts the beginnings of all lines before, so beginning number n of the whole table is found by a filter. What is
+    written grows with the words; a long line changes nothing in the rows of the others.
+    """
+    lines = encoded.filter(F.size(ids) >= 2).select(*keys, F.col(ids).alias("ids"), (F.size(ids) - 1).cast("long").alias("n_prefixes"))
+    return cut_lineage(running_total(lines, keys, "n_prefixes", "first"))
+
+
+def prefix_views(ragged: DataFrame, keys, start: int = 0, stop: int | None = None) -> DataFrame:
+    """Beginnings ``start`` to ``stop`` (exclusive) of the whole table, or all: (*keys, number, size, seq), cut when they are read."""
+    wanted, low, high = ragged, F.lit(2), F.size("ids")
+    if start:
+        wanted = wanted.filter(F.col("first") + F.col("n_prefixes") > start)
+        low = F.greatest(low.cast("long"), F.lit(start) - F.col("first") + 2).cast("int")
+    if stop is not None:
+        wanted = wanted.filter(F.col("first") < stop)
+        high = F.least(high.cast("long"), F.lit(stop) - F.col("first") + 1).cast("int")
+    sizes = wanted.filter(low <= high).select(*keys, "ids", "first", F.explode(F.sequence(low, high)).alias("size"))
+    return sizes.select(*keys, (F.col("first") + F.col("size") - 2).alias("number"), "size", F.slice("ids", F.lit(1), F.col("size")).alias("seq"))
+
+
+def padded_views(ragged: DataFrame, keys, start: int = 0, stop: int | None = None, length: Column | None = None) -> DataFrame:
+    """The same beginnings filled with zeros on the left to the longest line of the whole table, last id as target."""
+    if length is None:
+        length = ragged.agg(F.max(F.size("ids"))).scalar()
+    return pad_left(prefix_views(ragged, keys, start, stop), length=length)
+
+
 def next_word_table(lines: DataFrame, keys) -> DataFrame:
     """Most frequent follower of each word, alphabetical on ties: (word, next_word)."""
     words = sequence_words(F.col("line"))

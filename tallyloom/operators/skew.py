@@ -10,6 +10,7 @@ from tallyloom.session import cut_lineage
 
 ROWS_PER_TASK = 1_000_000
 NULL_PARTS = 256
+FILTER_BITS = 1 << 24
 
 
 def hot_keys(df: DataFrame, keys, rows_per_task: int = ROWS_PER_TASK, weight: str | None = None) -> DataFrame:
@@ -82,3 +83,36 @@ def lowest_hash_cut(df: DataFrame, group: str, key: str, n: Column, seed: int, b
     return (hashed.join(edge, [group, "_bucket"])
             .withColumn("_rank", rank).filter(F.col("_rank") == F.col("_need"))
             .select(group, F.col("_hash").alias("_cut_hash"), F.col(key).alias("_cut_key")))
+
+
+def address_filter(df: DataFrame, key: str, bits: int = FILTER_BITS) -> DataFrame:
+    """(_part, _bits): a Bloom filter of the keys with one hash; at most ``bits`` / 32,768 rows of 4 KB, whatever the input.
+
+    Tasks build their own bitmaps and send those on, not the keys.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(bits)) + 1
+    return (df.filter(F.col(key).isNotNull()).select(F.bitmap_bucket_number(place).alias("_part"), F.bitmap_bit_position(place).alias("_bit"))
+            .groupBy("_part").agg(F.bitmap_construct_agg("_bit").alias("_bits")))
+
+
+def with_filter(df: DataFrame, key: str, keys: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """Rows of ``df`` whose key may be in the filter: all that are, and few others. Nothing but the filter moves."""
+    place = F.pmod(F.xxhash64(key), F.lit(bits)) + 1
+    marked = df.withColumns({"_part": F.bitmap_bucket_number(place), "_bit": F.bitmap_bit_position(place)})
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    # The filter has a proven size: FILTER_BITS / 8 bytes at most.
+    held = marked.join(F.broadcast(keys), "_part").filter(F.getbit(byte, F.pmod("_bit", F.lit(8)).cast("int")) == 1)
+    return held.drop("_part", "_bit", "_bits")
+
+
+def running_total(df: DataFrame, order, value: str, name: str, parts: int | None = None) -> DataFrame:
+    """Add the sum of ``value`` over all rows before each row under ``order``, in range partitions like ``global_rank``."""
+    order = list(order)
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = cut_lineage(df.repartitionByRange(parts, *order).withColumn("_bucket", F.spark_partition_id()))
+    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy("_bucket").agg(F.sum(value).alias("_sum"))
+    starts = sums.select("_bucket", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"))  # one row per partition
+    before = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (placed.withColumn("_before", F.coalesce(F.sum(value).over(before), F.lit(0))).join(F.broadcast(starts), "_bucket")
+            .withColumn(name, (F.col("_start") + F.col("_before")).cast("long")).drop("_bucket", "_before", "_start"))

@@ -473,6 +473,14 @@ ORACLES = {
             ("quantity_positive", "quantity <= 0"), ("rate_not_negative", "rate < 0"),
             ("amount_not_negative", "total_amount < 0"), ("contract_id_length", "length(contract_id) > 64"),
             ("symbol_length", "length(symbol) > 20"))),
+    "k2_forex_rules": f"WITH {FOREX}, n AS (SELECT *, day(rate_date) AS d FROM forex) " + " UNION ALL ".join(
+        f"SELECT '{n}' AS rule, count(*) FILTER (WHERE {c}) AS violations FROM n" for n, c in (
+            ("unit_positive", "d = 7"), ("buying_rate_not_negative", "d = 11 AND buying_rate > 0"),
+            ("selling_rate_not_negative", "d = 13 AND selling_rate > 0"), ("iso3_length", "d = 3"),
+            ("name_length", "d = 5 AND length(currency_name) > 5"))),
+    "k2_alert_rules": f"WITH {ALERTS} " + " UNION ALL ".join(
+        f"SELECT '{n}' AS rule, count(*) FILTER (WHERE {c}) AS violations FROM made" for n, c in (
+            ("score_in_range", "day(alert_date) < 10"), ("type_length", "day(alert_date) % 3 = 0"), ("symbol_length", "length(symbol) > 10"))),
     "k3_unique": f"WITH {TRADES} SELECT contract_id, trade_date, count(*) AS rows FROM trades GROUP BY 1, 2 HAVING count(*) > 1",
     "k3_unique_contract": f"WITH {TRADES} SELECT contract_id, count(*) AS rows FROM trades GROUP BY 1 HAVING count(*) > 1",
     "k4_quarantine": f"""WITH {FLAWED}, r AS (SELECT contract_id, trade_date, total_amount, concat_ws(',',

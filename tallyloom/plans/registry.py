@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.contracts import SUMMARY_KEYS, TRADE_KEYS, TRADE_RULES
+from tallyloom.contracts import ALERT_RULES, FOREX_RULES, SUMMARY_KEYS, TRADE_KEYS, TRADE_RULES
 from tallyloom.functions import text as txt
 from tallyloom.functions.hashing import keyed_hash
 from tallyloom.functions.market import classify_risk, day_folder
@@ -193,6 +193,30 @@ def k2_rules(spark, d):
     return quality.check_rules(_flawed_trades(spark, d), TRADE_RULES)
 
 
+def k2_forex_rules(spark, d):
+    """Rules of the rates on rates with a zero unit, a negative rate, a long code or a long name."""
+    rates = fx.forex(spark, d)
+    day, code = F.dayofmonth("rate_date"), F.col("currency_iso3")
+    flawed = rates.select(
+        "rate_date", F.when(day == 3, F.concat(code, F.lit("x"))).otherwise(code).alias("currency_iso3"),
+        F.when(day == 5, F.repeat("currency_name", F.lit(20))).otherwise(F.col("currency_name")).alias("currency_name"),
+        F.when(day == 7, F.lit(0)).when(day != 9, F.col("currency_unit")).alias("currency_unit"),
+        F.when(day == 11, -F.col("buying_rate")).otherwise(F.col("buying_rate")).alias("buying_rate"),
+        F.when(day == 13, -F.col("selling_rate")).when(day != 15, F.col("selling_rate")).alias("selling_rate"))
+    return quality.check_rules(flawed, FOREX_RULES)
+
+
+def k2_alert_rules(spark, d):
+    """Rules of the alerts on alerts with a score above one, a long type or a long symbol."""
+    made = alerts.build_alerts(_flagged(spark, d))
+    day = F.dayofmonth("alert_date")
+    flawed = made.withColumns({
+        "risk_score": F.when(day < 10, F.col("risk_score") + F.lit(1)).when(day < 12, F.lit(None)).otherwise(F.col("risk_score")),
+        "alert_type": F.when(day % 3 == 0, F.repeat("alert_type", F.lit(3))).otherwise(F.col("alert_type")),
+        "symbol": F.concat("symbol", "symbol")})
+    return quality.check_rules(flawed, ALERT_RULES)
+
+
 def k3_unique(spark, d):
     return quality.check_unique(fx.raw_trades(spark, d), TRADE_KEYS)
 
@@ -241,8 +265,7 @@ def d5_profile(spark, d):
 
 def d6_impute(spark, d):
     df = fx.retail(spark, d).withColumn("outlet_size_const", F.col("outlet_size"))
-    df = impute.impute_const(impute.impute_mode(impute.impute_mean(df, "item_weight"), "outlet_size"),
-                             "outlet_size_const", "Medium")
+    df = impute.impute(df, means=["item_weight"], modes=["outlet_size"], constants={"outlet_size_const": "Medium"})
     return df.select("l_orderkey", "l_linenumber", _r("item_weight").alias("item_weight"), "outlet_size", "outlet_size_const")
 
 
@@ -476,7 +499,7 @@ def _sales_model(spark, d, features):
 
 def _sales_rows(spark, d) -> DataFrame:
     df = frames.recode(fx.retail(spark, d), "item_fat_content", FAT_SPELLINGS)
-    df = impute.impute_mode(impute.impute_mean(df, "item_weight"), "outlet_size")
+    df = impute.impute(df, means=["item_weight"], modes=["outlet_size"])
     df, _ = encode.label_encode(df, ["outlet_location_type", "outlet_type"])
     row_id = F.concat_ws("-", "l_orderkey", "l_linenumber", "item_identifier", "outlet_identifier")
     return models.sales_attributes(df).withColumn("row_id", row_id)
@@ -511,10 +534,10 @@ def i20_vocabulary(spark, d):
     return sequences.vocabulary(_text_lines(spark, d), LINE_KEYS)
 
 
-def _prefixes(spark, d) -> DataFrame:
+def _ragged(spark, d) -> DataFrame:
     lines = _text_lines(spark, d)
     encoded = sequences.encode_lines(lines, sequences.vocabulary(lines, LINE_KEYS), LINE_KEYS)
-    return sequences.prefix_sequences(encoded, LINE_KEYS)
+    return sequences.ragged_sequences(encoded, LINE_KEYS)
 
 
 def _digest(ids: str) -> Column:
@@ -523,11 +546,11 @@ def _digest(ids: str) -> Column:
 
 
 def i21_prefixes(spark, d):
-    return _prefixes(spark, d).select(*LINE_KEYS, "size", F.element_at("seq", 1).alias("first_id"), _digest("seq").alias("seq"))
+    return sequences.prefix_views(_ragged(spark, d), LINE_KEYS).select(*LINE_KEYS, "size", F.element_at("seq", 1).alias("first_id"), _digest("seq").alias("seq"))
 
 
 def i22_padded(spark, d):
-    padded = sequences.pad_left(_prefixes(spark, d))
+    padded = sequences.padded_views(_ragged(spark, d), LINE_KEYS)
     return padded.select(*LINE_KEYS, "size", F.size("x").alias("width"), _digest("x").alias("x"), "y")
 
 
@@ -601,5 +624,5 @@ QUERIES = {f.__name__: f for f in (
     i9_nb_predict, i9_nb_predict_capped, i11_rf_text, i11_rf_text_balanced, i12_linear_text, i13_label_encode, i14_sales_forest,
     i16_batch_score, i17_isolation_scores, i18_alerts, i19_open_alerts, i20_vocabulary, i21_prefixes, i22_padded,
     i23_next_words, j1_title, j1_title_nodes, j2_body, j2_body_portal, j2_body_site, j3_keep, j4_links,
-    j5_claim_listing, j6_articles, k1_not_null, k2_rules, k3_unique, k3_unique_contract, k4_quarantine,
+    j5_claim_listing, j6_articles, k1_not_null, k2_rules, k2_forex_rules, k2_alert_rules, k3_unique, k3_unique_contract, k4_quarantine,
     l2_refresh_fact, l4_first_run, m1_clean_text_sql)}

@@ -177,6 +177,61 @@ def test_impute_and_profile(spark):
         frames.require_or(df, "none")
 
 
+def test_ragged_batches_cover_all_beginnings_once(spark, tmp_path):
+    rows = [(i, list(range(1, 1 + i % 7))) for i in range(60)]
+    lines = spark.createDataFrame(rows, "id long, ids array<int>")
+    ragged = sequences.ragged_sequences(lines, ["id"])
+    want = [(i, n, ids[:n]) for i, ids in rows for n in range(2, len(ids) + 1)]
+    got = []
+    for start in range(0, len(want) + 10, 17):
+        got += sequences.prefix_views(ragged, ["id"], start, start + 17).orderBy("number").collect()
+    assert [(r.id, r.size, r.seq) for r in got] == want and [r.number for r in got] == list(range(len(want)))
+    # A line of 20,000 words leaves the bytes of the other rows as they are.
+    long_line = spark.createDataFrame([(99, list(range(1, 20_001)))], "id long, ids array<int>")
+    both = sequences.ragged_sequences(lines.unionByName(long_line), ["id"])
+    assert both.filter("id < 99").exceptAll(ragged).count() == 0 and both.filter("id = 99").first().n_prefixes == 19_999
+    sizes = []
+    for name, df in (("few", ragged), ("all", both)):
+        df.coalesce(1).write.option("compression", "none").parquet(str(tmp_path / name))
+        sizes.append(sum(p.stat().st_size for p in (tmp_path / name).glob("*.parquet")))
+    assert sizes[1] - sizes[0] < 20_000 * 8
+    assert sequences.padded_views(both, ["id"], 0, 5).select(F.size("x")).distinct().collect()[0][0] == 19_999
+
+
+def test_impute_reads_the_input_once(spark, tmp_path):
+    rows = [(i, None if i % 3 == 0 else float(i), None if i % 4 == 0 else i % 5, None if i % 5 == 0 else "abc"[i % 2], None) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, a double, b long, c string, d string")
+    df.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    got = impute.impute(stored, means=["a", "b"], modes=["c", "d"], constants={"d": "none"}).orderBy("id").collect()
+    mean = lambda at: sum(r[at] for r in rows if r[at] is not None) / sum(r[at] is not None for r in rows)
+    for r, (i, a, b, c, _) in zip(got, rows):
+        assert (r.a, r.c, r.d) == (pytest.approx(mean(1) if a is None else a), "a" if c is None else c, "none")
+    plan = impute.fill_values(stored, ["a", "b"], ["c", "d"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    ties = spark.createDataFrame([("y", 1), ("x", 2), (None, 3), ("y", 4), ("x", 5)], "s string, i int")
+    assert impute.fill_values(ties, modes=["s"]).first().s == "x" and impute.fill_values(ties.limit(0), ["i"], ["s"]).collect()[0] == (None, None)
+
+
+def test_bitmap_filter(spark):
+    keys = spark.range(0, 4000, 4).select(F.concat(F.lit("k"), F.col("id")).alias("k")).unionByName(spark.sql("SELECT CAST(NULL AS STRING) AS k"))
+    every = spark.range(4000).select("id", F.concat(F.lit("k"), F.col("id")).alias("k")).unionByName(spark.sql("SELECT -1L AS id, CAST(NULL AS STRING) AS k"))
+    for bits, most in ((1 << 24, 1010), (1 << 12, 2000)):
+        found = skew.with_filter(every, "k", skew.address_filter(keys, "k", bits), bits)
+        ids = {r.id for r in found.collect()}
+        assert {*range(0, 4000, 4)} <= ids and len(ids) <= most and found.columns == ["id", "k"]
+    assert skew.with_filter(every, "k", skew.address_filter(keys.limit(0), "k")).count() == 0
+
+
+def test_claim_bodies_are_cut_for_linked_pages_only(spark):
+    pages = spark.createDataFrame([(i, f"https://x.example/{i}", f"<p>{'body of page ' * 3}{i}</p>") for i in range(300)] + [(900, "https://x.example/7", "<p>a later copy of that page</p>")],
+                                  "page_id long, url string, html string")
+    listing = spark.createDataFrame([(1, 0, "seven", "https://x.example/7"), (1, 1, "none", "https://x.example/none"), (2, 0, "again", "https://x.example/7")],
+                                    "page_id long, pos int, title string, link string")
+    got = pg.join_claim_pages(listing, pages)
+    assert sorted((r.page_id, r.Title, r.Text) for r in got.collect()) == [(1, "seven", "body of page " * 3 + "7"), (2, "again", "body of page " * 3 + "7")]
+
+
 def test_report_without_support(spark):
     df = spark.createDataFrame([("a", "a"), ("a", "b")], "label string, prediction string")
     rows = {r["class"]: r for r in metrics.classification_report(df, ["a", "b"]).collect()}
@@ -194,6 +249,9 @@ def test_sequences(spark):
     padded = sequences.pad_left(sequences.prefix_sequences(encoded, keys)).collect()
     assert {(r.line_no, r.size): (r.x, r.y) for r in padded} == {
         (0, 2): ([0, 1], 2), (0, 3): ([1, 2], 1), (1, 2): ([0, 3], 2), (1, 3): ([3, 2], 1)}
+    ragged = sequences.ragged_sequences(encoded, keys)
+    views = sequences.padded_views(ragged, keys).orderBy("number").collect()
+    assert [(r.number, r.line_no, r.size, r.x, r.y) for r in views] == [(0, 0, 2, [0, 1], 2), (1, 0, 3, [1, 2], 1), (2, 1, 2, [0, 3], 2), (3, 1, 3, [3, 2], 1)]
     seeds = spark.createDataFrame([("c",), ("unknown",), ("",)], "seed string")
     table = sequences.next_word_table(lines, keys)
     for size in (1, skew.ROWS_PER_TASK):
