@@ -4,6 +4,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom import contracts as K
 from tallyloom.plans import daily
@@ -131,6 +132,24 @@ def test_partition_pruning(spark, small, tmp_path):
     assert "PartitionFilters: [isnotnull(trade_date" in plan
 
 
+def test_bucketed_merge_shuffles_the_updates_only(spark, small):
+    from tallyloom.operators.keyed import merge_upsert
+    contract = T.StructType([f for f in K.BROKER_SUMMARY.fields if f.name != "created_at"])
+    fact = fx.fact(spark, small).select(*contract.names)
+    stored = fact.filter("trade_date < '1995-01-01'").checkpoint()
+    changed = (fact.filter("trade_date > '1994-06-01' AND trade_date < '1995-02-01'").withColumn("total_volume", F.col("total_volume") + 1)).checkpoint()
+    tables.create_bucketed(spark, "bucketed_fact", contract, K.SUMMARY_KEYS, buckets=8)
+    tables.create_bucketed(spark, "bucketed_fact", contract, K.SUMMARY_KEYS, buckets=8)
+    for updates in (stored, changed, changed):
+        tables.merge_bucketed(updates, "bucketed_fact", K.SUMMARY_KEYS, buckets=8)
+    want, got = merge_upsert(stored, changed, K.SUMMARY_KEYS), spark.table("bucketed_fact").select(*contract.names)
+    assert got.count() == want.count() > stored.count() and got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+    with tables.by_some_keys(spark):
+        plan = tables.merged_bucketed(changed, "bucketed_fact", K.SUMMARY_KEYS, buckets=8)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan and "SelectedBucketsCount: 8 out of 8" in plan
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+
+
 def test_csv_round_trip(spark, tmp_path):
     rows = [("u", "s", 'a "quoted", title', "two\nlines", "2026-01-05", "Real")]
     df = spark.createDataFrame(rows, K.NEWS)
