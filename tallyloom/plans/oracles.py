@@ -241,6 +241,32 @@ NEXT = LINES + """, pairs AS (SELECT w[i] AS word, w[i + 1] AS nxt
   seeds AS (SELECT conv_id, turn, line_no, array_to_string(w[1:2], ' ') AS seed, w[least(2, len(w))] AS tail
     FROM lines WHERE len(w) >= 1)"""
 
+#: Every word of the vocabulary scored after every seed, from counts of runs of 2 to 4 words.
+KNESER_NEY = LINES + """, at2 AS (SELECT w[i] AS c, w[i + 1] AS x, count(*) AS n FROM (
+      SELECT w, unnest(generate_series(1, len(w) - 1)) AS i FROM lines WHERE len(w) > 1) GROUP BY ALL),
+  at3 AS (SELECT w[i] AS b, w[i + 1] AS c, w[i + 2] AS x FROM (
+      SELECT w, unnest(generate_series(1, len(w) - 2)) AS i FROM lines WHERE len(w) > 2) GROUP BY ALL),
+  at4 AS (SELECT w[i] AS a, w[i + 1] AS b, w[i + 2] AS c, w[i + 3] AS x, count(*) AS n FROM (
+      SELECT w, unnest(generate_series(1, len(w) - 3)) AS i FROM lines WHERE len(w) > 3) GROUP BY ALL),
+  n1 AS (SELECT x, count(*) AS n FROM at2 GROUP BY 1),
+  n2 AS (SELECT c, x, count(*) AS n FROM at3 GROUP BY ALL),
+  n3 AS (SELECT b, c, x, count(*) AS n FROM at4 GROUP BY ALL),
+  s2 AS (SELECT c, sum(n)::DOUBLE AS t, count(*) AS k FROM n2 GROUP BY ALL),
+  s3 AS (SELECT b, c, sum(n)::DOUBLE AS t, count(*) AS k FROM n3 GROUP BY ALL),
+  s4 AS (SELECT a, b, c, sum(n)::DOUBLE AS t, count(*) AS k FROM at4 GROUP BY ALL),
+  p1 AS (SELECT x, n / (SELECT sum(n)::DOUBLE FROM n1) AS p FROM n1),
+  seeds AS (SELECT conv_id, turn, line_no, array_to_string(w[1:3], ' ') AS seed, w[1:3] AS s FROM lines WHERE len(w) > 0),
+  asked AS (SELECT DISTINCT s, CASE WHEN len(s) > 2 THEN s[len(s) - 2] END AS a, CASE WHEN len(s) > 1 THEN s[len(s) - 1] END AS b, s[len(s)] AS c FROM seeds),
+  q2 AS (SELECT s, a, b, c, x, CASE WHEN t IS NULL THEN p ELSE greatest(coalesce(n2.n, 0) - 0.75, 0)::DOUBLE / t + 0.75::DOUBLE * k / t * p END AS p
+    FROM asked CROSS JOIN p1 LEFT JOIN s2 USING (c) LEFT JOIN n2 USING (c, x)),
+  q3 AS (SELECT s, a, b, c, x, CASE WHEN t IS NULL THEN p ELSE greatest(coalesce(n3.n, 0) - 0.75, 0)::DOUBLE / t + 0.75::DOUBLE * k / t * p END AS p
+    FROM q2 LEFT JOIN s3 USING (b, c) LEFT JOIN n3 USING (b, c, x)),
+  q4 AS (SELECT s, x, CASE WHEN t IS NULL THEN p ELSE greatest(coalesce(at4.n, 0) - 0.75, 0)::DOUBLE / t + 0.75::DOUBLE * k / t * p END AS p
+    FROM q3 LEFT JOIN s4 USING (a, b, c) LEFT JOIN at4 USING (a, b, c, x)),
+  top AS (SELECT s, x, p FROM (SELECT *, row_number() OVER (PARTITION BY s ORDER BY round(p, 12) DESC, x) AS rn FROM q4) WHERE rn = 1)
+  SELECT conv_id, turn, line_no, seed, x AS next_word, round(p, 9) AS prob FROM seeds LEFT JOIN top USING (s)"""
+KNESER_NEY = "WITH " + KNESER_NEY
+
 # Pages ------------------------------------------------------------------------------------------
 
 NAMED = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "''", "nbsp": " ", "copy": "©", "reg": "®",
@@ -454,6 +480,7 @@ ORACLES = {
         concat_ws(' ', seed, a.nxt, b.nxt, c.nxt, d.nxt) AS continued
       FROM seeds LEFT JOIN follow a ON a.word = tail LEFT JOIN follow b ON b.word = a.nxt
         LEFT JOIN follow c ON c.word = b.nxt LEFT JOIN follow d ON d.word = c.nxt""",
+    "i23_kneser_ney": KNESER_NEY,
     "j1_title": f"WITH {SHOWN.format('pages')} SELECT page_id, coalesce({_tag('html', 'h1', 'trim')}, 'No Title') AS title FROM shown",
     "j1_title_nodes": f"WITH {SHOWN.format('pages')} SELECT page_id, {_tag('html', 'h1', 'nodes')} AS title FROM shown",
     "j2_body": f"WITH {PARAGRAPHS.format('pages')} SELECT page_id, {_body('none')} AS body FROM cut",

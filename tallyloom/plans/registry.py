@@ -10,7 +10,7 @@ from tallyloom.functions import text as txt
 from tallyloom.functions.hashing import keyed_hash
 from tallyloom.functions.market import classify_risk, day_folder
 from tallyloom.functions.urls import contains_any, portal_name, url_host
-from tallyloom.operators import alerts, bayes, encode, frames, gold, impute, isolation, keyed, linear, metrics, models
+from tallyloom.operators import alerts, bayes, encode, frames, gold, impute, isolation, keyed, kneser_ney, linear, metrics, models
 from tallyloom.operators import pages as pg
 from tallyloom.operators import profile, quality, sampling, sequences, silver, text_forest, tfidf
 from tallyloom.plans import fixtures as fx
@@ -561,6 +561,15 @@ def i23_next_words(spark, d):
     return sequences.next_words(seeds, sequences.next_word_table(lines, LINE_KEYS), 4)
 
 
+def i23_kneser_ney(spark, d):
+    """The most likely word after the first three of each line, by runs of up to four words."""
+    lines = _text_lines(spark, d)
+    words = txt.sequence_words(F.col("line"))
+    seeds = lines.select(*LINE_KEYS, F.array_join(F.slice(words, 1, 3), " ").alias("seed")).filter(F.col("seed") != "")
+    found = kneser_ney.suggest(seeds, kneser_ney.fit_kneser_ney(lines))
+    return found.withColumn("prob", _r("prob", 9))
+
+
 # --- pages ---------------------------------------------------------------------------------------
 
 def _pages(spark, d) -> DataFrame:
@@ -623,6 +632,6 @@ QUERIES = {f.__name__: f for f in (
     h24_prefix, i3_tokens, i4_ngrams, i5_tfidf, i5_tfidf_capped, i6_split, i6_split_exact, i7_balance, i8_nb_model, i8_nb_priors,
     i9_nb_predict, i9_nb_predict_capped, i11_rf_text, i11_rf_text_balanced, i12_linear_text, i13_label_encode, i14_sales_forest,
     i16_batch_score, i17_isolation_scores, i18_alerts, i19_open_alerts, i20_vocabulary, i21_prefixes, i22_padded,
-    i23_next_words, j1_title, j1_title_nodes, j2_body, j2_body_portal, j2_body_site, j3_keep, j4_links,
+    i23_next_words, i23_kneser_ney, j1_title, j1_title_nodes, j2_body, j2_body_portal, j2_body_site, j3_keep, j4_links,
     j5_claim_listing, j6_articles, k1_not_null, k2_rules, k2_forex_rules, k2_alert_rules, k3_unique, k3_unique_contract, k4_quarantine,
     l2_refresh_fact, l4_first_run, m1_clean_text_sql)}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import html as H
 from tallyloom.functions import text as txt
 from tallyloom.functions.urls import portal_name, url_host
-from tallyloom.operators import bayes, encode, forest, frames, impute, linear, metrics, models, profile, sampling, sequences, skew, text_forest, tfidf
+from tallyloom.operators import bayes, encode, forest, frames, impute, kneser_ney, linear, metrics, models, profile, sampling, sequences, skew, text_forest, tfidf
 from tallyloom.operators import pages as pg
 from tallyloom.sources.saved import load_model, save_model
 
@@ -198,6 +198,23 @@ def test_ragged_batches_cover_all_beginnings_once(spark, tmp_path):
     assert sequences.padded_views(both, ["id"], 0, 5).select(F.size("x")).distinct().collect()[0][0] == 19_999
 
 
+def test_kneser_ney_by_hand(spark):
+    lines = spark.createDataFrame([("a b c d",), ("a b c e",), ("x b c e",), ("",), (None,), ("one",)], "line string")
+    for size in (1, skew.ROWS_PER_TASK):
+        model = kneser_ney.fit_kneser_ney(lines, rows_per_task=size)
+        best = {(r["size"], r.context): (r.word, r.prob) for r in model.collect()}
+        # Words by how many different words come before them: b 2, c 1, d 1, e 1.
+        assert best[0, ""] == ("b", pytest.approx(2 / 5))
+        # After c, d has one word pair before (b c) and so has e; b keeps 0.75 x 2 / 2 x 2 / 5.
+        assert best[1, "c"] == ("b", pytest.approx(0.75 * 2 / 2 * 2 / 5))
+        assert best[2, "b c"][0] == "e" and best[3, "x b c"][0] == "e"
+        seeds = spark.createDataFrame([("zz a b c",), ("nothing known",), ("x B, c",), ("",)], "seed string")
+        got = {r.seed: r.next_word for r in kneser_ney.suggest(seeds, model, rows_per_task=size).collect()}
+        assert got == {"zz a b c": best[3, "a b c"][0], "nothing known": "b", "x B, c": "e", "": "b"}
+    empty = kneser_ney.suggest(spark.createDataFrame([("a",)], "seed string"), kneser_ney.fit_kneser_ney(lines.limit(0)))
+    assert [(r.seed, r.next_word) for r in empty.collect()] == [("a", None)]
+
+
 def test_impute_reads_the_input_once(spark, tmp_path):
     rows = [(i, None if i % 3 == 0 else float(i), None if i % 4 == 0 else i % 5, None if i % 5 == 0 else "abc"[i % 2], None) for i in range(200)]
     df = spark.createDataFrame(rows, "id long, a double, b long, c string, d string")
