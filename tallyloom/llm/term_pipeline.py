@@ -84,7 +84,8 @@ def contributions(found: DataFrame, n_docs: int, n_terms: int) -> DataFrame:
     """(block, doc, term_id, part): what one occurrence of the term in a query adds to the document's score."""
     df = found.groupBy("term_id").agg(F.count(F.lit(1)).alias("df"))
     weight = F.floor(F.log(F.lit(2.0 * n_docs + 2.0) / (F.col("df") * 2 + 1)) * 1000)
-    weights = df.select("term_id", weight.cast("bigint").alias("w")).filter("w > 0")
+    # A row per query term, kept: Spark knows its size and need not deal out the postings by term, of which some are in all documents.
+    weights = written(df.select("term_id", weight.cast("bigint").alias("w")).filter("w > 0"))
     part = F.expr(f"w * ((1000000000 * tf) div (1000 * tf + 12 * (75 + ((25 * n * {n_docs}L) div {max(n_terms, 1)}L))))")
     return found.join(weights, "term_id").select(_block(), _doc(), "term_id", part.alias("part"))
 
