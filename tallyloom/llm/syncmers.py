@@ -2,14 +2,18 @@
 
 Words are cut into pieces of up to ``PIECE`` characters. A k-mer of ``K`` pieces is an anchor if the smallest hash among
 its ``K - S + 1`` inner s-mers is that of the first or of the last: whether it is depends on the k-mer alone, so equal
-passages have equal anchors wherever they stand, and anchors of two texts can be matched by position. The fingerprint of
-a text is the ``KEPT`` smallest distinct anchor hashes, and the likeness of two is the share of those among the smallest
-of their union that both have: an estimate of the Jaccard similarity of the anchor sets.
+passages have equal anchors wherever they stand. The printed fingerprint of a text is the ``KEPT`` smallest distinct anchor
+hashes.
+
+Texts are compared by all their anchors and by position: an anchor, the next one and the distance between them are a link,
+which does not change when the passage moves, and the likeness of two texts is the Jaccard similarity of their sets of links.
+A passage that two texts share has links in both, however long the texts are; anchors that agree by chance at other
+distances do not count. Links are kept as 31-bit hashes.
 
 The piece list starts with ``K - 1`` blank pieces, so short texts have as many k-mers as pieces. Where no k-mer is an
-anchor, all are. White space does not count. Null, empty and blank texts have an empty fingerprint: two of them are alike
-(1), one and a text are not (0). The next document has the next larger id, a null id being the smallest; of rows with one
-id the text with the smallest hash stands for it. Only DataFrame functions run.
+anchor, all are. White space does not count. Null, empty and blank texts have an empty fingerprint and no links: two of them
+are alike (1), one and a text are not (0). The next document has the next larger id, a null id being the smallest; of rows with
+one id the text with the smallest hash stands for it. Texts are read whole. Only DataFrame functions run.
 """
 
 from __future__ import annotations
@@ -62,23 +66,40 @@ def _hash(k: Column) -> Column:
 
 
 def anchors(text: Column) -> Column:
-    """Array of (position, hash): the closed syncmers of a text, positions counted in pieces."""
-    placed = F.transform(_kmers(text), lambda k, i: F.struct((i - (K - 1)).alias("position"), k.alias("k")))
-    return F.transform(F.filter(placed, lambda x: _edge(x["k"])), lambda x: F.struct(x["position"], _hash(x["k"]).alias("hash")))
+    """Array of (position, hash): the closed syncmers of a text, positions counted in pieces; all k-mers where none is one."""
+    def chosen(kmers: Column) -> Column:
+        placed = F.transform(kmers, lambda k, i: F.struct((i - (K - 1)).alias("position"), k.alias("k")))
 
+        def named(edge: Column) -> Column:
+            return F.transform(F.when(F.size(edge) > 0, edge).otherwise(placed), lambda x: F.struct(x["position"], _hash(x["k"]).alias("hash")))
+
+        return let(F.filter(placed, lambda x: _edge(x["k"])), named)
+
+    return let(_kmers(text), chosen)
+
+
+def sketch(found: Column) -> Column:
+    """The ``KEPT`` smallest distinct hashes of anchors, in order."""
+    return F.slice(F.array_sort(F.array_distinct(F.transform(found, lambda x: x["hash"]))), 1, KEPT)
+
+
+def links(found: Column) -> Column:
+    """Distinct hashes of each anchor with the next one and the distance to it; the last anchor has a link of its own."""
+    pairs = F.arrays_zip(found.alias("a"), _shifted(found, 1).alias("b"))
+    made = F.transform(pairs, lambda p: F.xxhash64(p["a"]["hash"], F.coalesce(p["b"]["hash"], F.lit(-1).cast("long")),
+                                                   F.coalesce(p["b"]["position"] - p["a"]["position"], F.lit(0))))
+    return F.array_distinct(F.transform(made, lambda h: F.shiftrightunsigned(h, 33).cast("int")))
 
-def sketch(text: Column) -> Column:
-    """The ``KEPT`` smallest distinct anchor hashes, in order."""
-    def chosen(kmers: Column) -> Column:
-        return let(F.filter(kmers, _edge), lambda edge: F.transform(F.when(F.size(edge) > 0, edge).otherwise(kmers), _hash))
 
-    return F.slice(F.array_sort(F.array_distinct(let(_kmers(text), chosen))), 1, KEPT)
+def marks(text: Column) -> Column:
+    """(sketch, links) of a text, its anchors found once."""
+    return let(anchors(text), lambda found: F.struct(sketch(found).alias("sketch"), links(found).alias("links")))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    union = F.slice(F.array_sort(F.array_union(a, b)), 1, KEPT)
-    both = F.size(F.array_intersect(F.array_intersect(a, b), union))
-    return F.when(F.size(a) + F.size(b) == 0, F.lit(1.0)).otherwise(both / F.size(union))
+    """Jaccard similarity of two sets of links."""
+    both = F.size(F.array_intersect(a, b))
+    return F.when(F.size(a) + F.size(b) == 0, F.lit(1.0)).otherwise(both / (F.size(a) + F.size(b) - both))
 
 
 def as_text(sketched: Column) -> Column:
@@ -111,33 +132,31 @@ def next_ids(ids: DataFrame, key: str) -> DataFrame:
 
 
 def edited_pairs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, text, sketch, head, next_sketch): each row with the start of the next document and that one's sketch.
+    """(key, text, head, next_links): each row with the start of the next document and that one's links.
 
-    ``head`` is as long as the longest text with the key asks for. Texts are dealt out once, by key; starts and sketches
-    travel to the row before.
+    ``head`` is as long as the longest text with the key asks for. Texts are dealt out once, by key; starts and links travel
+    to the row before.
     """
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("key"), text_of(text).alias("text"))
     lengths = rows.groupBy("key").agg(F.max(F.length("text")).alias("n"))
     asked = next_ids(lengths, "key").join(lengths, "key").select(
         F.col("next").alias("key"), F.col("key").alias("before"), F.floor(F.col("n") / 4).cast("int").alias("need"))
-    made = rows.withColumn("sketch", sketch(F.col("text")))
-    lent = made.join(asked, "key").select("before", F.struct(
-        F.xxhash64("text").alias("order"), F.substring("text", F.lit(1), F.col("need")).alias("head"), "sketch").alias("of"))
+    lent = rows.join(asked, "key").select("before", F.struct(
+        F.xxhash64("text").alias("order"), F.substring("text", F.lit(1), F.col("need")).alias("head"), links(anchors(F.col("text"))).alias("links")).alias("of"))
     lent = lent.groupBy("before").agg(F.min("of").alias("of"))  # one row unless an id is repeated
-    return (made.join(lent, made["key"] == lent["before"])
-            .select("key", "text", "sketch", F.col("of.head").alias("head"), F.col("of.sketch").alias("next_sketch")))
+    return (rows.join(lent, rows["key"] == lent["before"])
+            .select("key", "text", F.col("of.head").alias("head"), F.col("of.links").alias("next_links")))
 
 
 def op1_fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of each document and of its text with the end replaced by the start of the next document."""
     cut = F.floor(F.length("text") / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - cut), F.substring("head", F.lit(1), cut))
-    rows = edited_pairs(docs.select("doc_id", "text")).select(
-        "key", "sketch", "next_sketch", F.length("text").cast("long").alias("n_chars"), edited.alias("edited"))
-    rows = rows.select("key", "n_chars", "sketch", "next_sketch", F.sha2("edited", 256).alias("edited_sha256"),
-                       sketch(F.col("edited")).alias("edited_sketch"))
+    rows = edited_pairs(docs.select("doc_id", "text")).select("key", "text", "next_links", edited.alias("edited"))
+    rows = rows.select("key", "next_links", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+                       marks(F.col("text")).alias("own"), marks(F.col("edited")).alias("other"))
     return rows.select(
-        F.nullif("key", F.lit(NO_ID)).alias("doc_id"), "n_chars", "edited_sha256", as_text(F.col("sketch")).alias("fingerprint"),
-        as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
+        F.nullif("key", F.lit(NO_ID)).alias("doc_id"), "n_chars", "edited_sha256", as_text(F.col("own.sketch")).alias("fingerprint"),
+        as_text(F.col("other.sketch")).alias("edited_fingerprint"),
+        likeness(F.col("own.links"), F.col("other.links")).alias("near_edited"),
+        likeness(F.col("own.links"), F.col("next_links")).alias("near_next"))

@@ -42,20 +42,26 @@ def spark_hash(*values, seed=42):
     return signed(seed)
 
 
-def sketch(text, piece=4, k=5, kept=64):
+def anchors(text, piece=4, k=5):
+    """[(position, hash)] of the closed syncmers, all k-mers where none is one."""
     pieces = re.findall(r"[^\x20\x09-\x0D]{1,%d}" % piece, text or "")
     if not pieces:
         return []
     pieces = [""] * (k - 1) + pieces
     smers = [spark_hash(a, b) for a, b in zip(pieces, pieces[1:])]
     kmers = [smers[i:i + k - 1] for i in range(len(smers) - k + 2)]
-    edge = [x for x in kmers if min(x) in (x[0], x[-1])] or kmers
-    return sorted({(spark_hash(*x) & (2 ** 64 - 1)) >> 24 for x in edge})[:kept]
+    placed = [(i - k + 1, (spark_hash(*x) & (2 ** 64 - 1)) >> 24, min(x) in (x[0], x[-1])) for i, x in enumerate(kmers)]
+    return [(i, h) for i, h, edge in placed if edge or not any(e for *_, e in placed)]
 
 
-def likeness(a, b, kept=64):
-    union = sorted({*a, *b})[:kept]
-    return 1.0 if not a and not b else len(set(a) & set(b) & set(union)) / len(union)
+def sketch(text, kept=64):
+    return sorted({h for _, h in anchors(text)})[:kept]
+
+
+def likeness(a, b):
+    """Jaccard similarity of the (anchor, next anchor, distance) of two texts."""
+    x, y = ({(h, g, j - i) for (i, h), (j, g) in zip(found, found[1:])} | {(h, -1, 0) for _, h in found[-1:]} for found in map(anchors, (a, b)))
+    return 1.0 if not x and not y else len(x & y) / len(x | y)
 
 
 def counts(text):

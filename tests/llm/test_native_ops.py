@@ -1,6 +1,7 @@
 """Fingerprints, source mix and secret scans against brute force and their contracts."""
 
 import hashlib
+import random
 
 import pytest
 from helpers import ROWS, base_spans, likeness, make, sketch
@@ -34,7 +35,7 @@ def expected_fingerprints(docs):
         edited = a[:len(a) - cut] + b[:cut]
         x, y = sketch(a), sketch(edited)
         out[k] = (len(a), hashlib.sha256(edited.encode()).hexdigest(), "".join(f"{h:010x}" for h in x), "".join(f"{h:010x}" for h in y),
-                  likeness(x, y), likeness(x, sketch(b)))
+                  likeness(a, edited), likeness(a, b))
     return out
 
 
@@ -54,6 +55,16 @@ def test_fingerprints_of_repeated_and_nameless_rows(spark):
     assert syncmers.op1_fingerprints(make(spark, [])).count() == 0
 
 
+def test_likeness_sees_a_shared_passage_of_long_texts(spark):
+    rng = random.Random(4)
+    text = lambda n: " ".join("".join(rng.choices("abcdefghij", k=rng.randrange(2, 9))) for _ in range(n))
+    passage = text(330)
+    long_ = [text(4000) + " " + passage + " " + text(4000), text(100) + " " + passage + " " + text(8000), text(8000)]
+    assert min(map(len, long_)) > 48_000 and 1_900 < len(passage) < 2_200
+    got = {r["doc_id"]: r for r in syncmers.op1_fingerprints(make(spark, [(i, t, None, None) for i, t in enumerate(long_)])).collect()}
+    assert 0.01 < got[0]["near_next"] < 0.05 and got[1]["near_next"] < 0.002 and 0.5 < got[0]["near_edited"] < 0.7
+
+
 def test_next_ids(spark):
     keys = [0, 1, 5, 2047, 2048, 1 << 30, (1 << 43) + 1, -(1 << 60), (1 << 62)]
     df = spark.createDataFrame([(k,) for k in keys], "k long")
