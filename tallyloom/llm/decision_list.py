@@ -173,8 +173,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
              .orderBy(F.xxhash64("__key"), "__key").limit(sample))
     one = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"))
     found = with_counts(one.join(F.broadcast(drawn), "__key"), "__text")
-    row = found.select("__key", "__label", *[c.alias(n) for n, c in features().items()])
-    rows = row.dropDuplicates(["__key"]).orderBy("__key").limit(sample).toPandas()
+    row = found.select("__key", F.struct(F.xxhash64("__text").alias("__order"), "__label", *[c.alias(n) for n, c in features().items()]).alias("row"))
+    # Of a key's rows the text with the smallest hash stands for it, in whatever order they come.
+    rows = row.groupBy("__key").agg(F.min("row").alias("row")).select("__key", "row.*").orderBy("__key").limit(sample).toPandas()
     if rows["__label"].nunique() < 2:
         return []
     bad = rows["__label"].to_numpy() == 0

@@ -86,15 +86,16 @@ def train(docs: DataFrame, text: str = "text", key: str = "doc_id", sample: int
     def drawn(rows: DataFrame) -> DataFrame:
         keys = (rows.select("__key").filter(F.col("__key").isNotNull()).distinct()
                 .orderBy(F.xxhash64("__key"), "__key").limit(sample))
-        return rows.join(F.broadcast(keys), "__key", "left_semi")
+        # Of a key's rows the text with the smallest hash stands for it, in whatever order they come.
+        return rows.join(F.broadcast(keys), "__key", "left_semi").groupBy("__key").agg(F.min_by("__text", F.xxhash64("__text")).alias("__text"))
 
-    secrets = drawn(frame.filter(F.col("__text").rlike(ANY_BASE))).dropDuplicates(["__key"])
+    secrets = drawn(frame.filter(F.col("__text").rlike(ANY_BASE)))
     values = F.concat(F.regexp_extract_all("__text", F.lit(ASSIGN), F.lit(2)),
                       F.regexp_extract_all("__text", F.lit(ACCESS), F.lit(0)),
                       F.regexp_extract_all("__text", F.lit(HEX), F.lit(0)))
     values = F.filter(values, lambda v: F.length(v) >= SHORTEST_VALUE)
     plain = F.regexp_replace(F.regexp_replace(F.regexp_replace("__text", ASSIGN, " "), ACCESS, " "), HEX, " ")
-    ordinary = drawn(frame).dropDuplicates(["__key"])
+    ordinary = drawn(frame)
     strings = (secrets.select(F.lit(1).alias("cls"), F.explode(values).alias("s"))
                .unionAll(ordinary.select(F.lit(0).alias("cls"), F.explode(F.regexp_extract_all(plain, F.lit(IDENTIFIER), F.lit(0))).alias("s"))))
     pairs = strings.select("cls", F.explode(F.transform(F.split("s", ""), lambda ch, i: F.struct(

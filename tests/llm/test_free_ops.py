@@ -55,6 +55,14 @@ def test_decision_list_learns_and_keeps_clean(spark):
     assert decision_list.op3_quality_rules(make(spark, []), marks).count() == 0
 
 
+def test_rules_do_not_depend_on_the_order_of_repeated_ids(spark):
+    rng = random.Random(8)
+    rows = [(i % 40, " ".join(rng.choice(("alpha", "BETA", "|", "delta#", "eps")) + str(rng.randrange(30)) for _ in range(rng.randrange(20, 90))), None, None) for i in range(400)]
+    marks = labels_of(spark, [(i, int(i % 3 > 0), 0) for i in range(40)])
+    learned = [decision_list.fit(make(spark, rows).orderBy(F.xxhash64("text", F.lit(i))).repartition(i + 1), marks) for i in range(3)]
+    assert learned[0] == learned[1] == learned[2]
+
+
 def test_quality_on_held_out_labels(spark):
     folder = "/root/testdata/sf0.01"
     labels = table(spark, folder, "labels")

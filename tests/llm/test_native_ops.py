@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import pytest
 from helpers import ROWS, base_spans, likeness, make, sketch
@@ -180,3 +181,33 @@ def test_secrets_redacted_everywhere(spark):
     again = secrets.scan(out, ratios).agg(F.sum(F.size("base_spans"))).first()[0]
     assert again == 0 and out.filter("text is null").count() == 1
     assert secrets.op10_secret_scans(make(spark, [])).count() == 0
+
+
+def test_markov_models_do_not_depend_on_the_order_of_repeated_ids(spark):
+    rng = random.Random(9)
+    rows = [(i % 25, f"word{i} token = {''.join(rng.choices('0123456789abcdef', k=24))} and snake_case_name{i}", None, None) for i in range(300)]
+    models = [secrets.train(make(spark, rows).orderBy(F.xxhash64("text", F.lit(i))).repartition(i + 1)) for i in range(3)]
+    assert models[0] == models[1] == models[2]
+
+
+def test_markov_spans_equal_brute_force(spark):
+    """Every candidate's ratio is summed again over its characters from the table of ratios."""
+    docs = make(spark)
+    ratios = secrets.train(docs)
+    code = lambda c: secrets.ALPHABET.find(c) + 1
+    def ratio(token):
+        total, before = 0.0, 0
+        for c in token:
+            total += float(f"{ratios[secrets.STATES * before + code(c)]:.6f}")
+            before = code(c)
+        return total
+    for r in secrets.scan(docs, ratios).collect():
+        text = r["text"] or ""
+        known = [(b["start"], b["end"]) for b in r["base_spans"]]
+        want = []
+        for m in re.finditer(secrets.CANDIDATE, text):
+            apart = all(m.end() <= a or b <= m.start() for a, b in known)
+            score = ratio(m[0])
+            if apart and score >= secrets.LEAST_TOTAL and score >= secrets.LEAST_MEAN * len(m[0]):
+                want.append((m.start(), m.end()))
+        assert [(s["start"], s["end"]) for s in r["model_spans"]] == want
