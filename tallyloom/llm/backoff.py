@@ -38,12 +38,18 @@ def _bigrams(ids: np.ndarray) -> np.ndarray:
     return ids[:-1].astype(np.int64) * IDS + ids[1:]
 
 
+def _two_bytes(ids: np.ndarray) -> bytes:
+    if len(ids) and ids.max() >= IDS:
+        raise ValueError(f"token id {ids.max()} needs more than two bytes; take a vocabulary of up to {IDS} entries")
+    return ids.astype("<u2").tobytes()
+
+
 def _coder(vocabulary: str):
     """Texts as token ids of two bytes."""
     def batches(source):
         encode = Encoder(vocabulary)
         for batch in source:
-            ids = [np.frombuffer(encode(x.as_py() or ""), dtype="<u4").astype("<u2").tobytes() for x in batch.column(2)]
+            ids = [_two_bytes(np.frombuffer(encode(x.as_py() or ""), dtype="<u4")) for x in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], names=["key", "block", "ids"])
 
     return batches

@@ -67,10 +67,31 @@ def _page_record(kind: str, place: str, date: str, page: int | None, url: str |
     return _record(kind, place, date, fields, http + (payload if kind == "response" else b""))
 
 
+#: Names that Spark's file systems have and the writers' library spells otherwise.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "wasbs": "abfs"}
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme and authority that Spark gives it: a bare path lies in the default file system, not on each
+    machine's own disk."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def store_address(folder: str) -> tuple[str, str]:
+    """(scheme, address) for the writers' library; the address of a local folder is its path."""
+    scheme, _, rest = folder.partition(":")
+    if "/" in scheme or not rest:
+        raise ValueError(f"{folder} names no file system")
+    scheme = SCHEMES.get(scheme, scheme)
+    return scheme, "/" + rest.lstrip("/") if scheme == "file" else f"{scheme}:{rest}"
+
+
 def _store(folder: str):
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(folder) if ":" in folder.split("/")[0] else (fs.LocalFileSystem(), folder)
+    scheme, address = store_address(folder)
+    return (fs.LocalFileSystem(), address) if scheme == "file" else fs.FileSystem.from_uri(address)
 
 
 MANIFEST = "name string, temporary string, records long, bytes long, sha256 string"
@@ -158,7 +179,8 @@ def _one_task_each(files: DataFrame) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, folder: str, date: str = DATE, records: int = RECORDS, roll: int = ROLL_BYTES) -> str:
-    """Write (page_id, url, html) as archives below ``folder``; gives the folder."""
+    """Write (page_id, url, html) as archives below ``folder``; gives the folder with its file system."""
+    folder = qualified(pages.sparkSession, folder)
     rows = pages.select(F.col("page_id").cast("long"), "url", "html", F.sha1(text_of("html")).alias("digest"))
     keys = rows.select("page_id", "digest").distinct()
     placed = ranked(keys, ["page_id", "digest"], "place").withColumn("shard", F.floor(F.col("place") / records)).drop("place")
@@ -236,6 +258,7 @@ def _read_rows(rows: list[tuple]) -> pa.RecordBatch:
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """One row per page record of the archives that the manifest names, digests checked; html is null for revisits."""
+    folder = qualified(spark, folder)
     manifest = spark.read.schema("name string, records long, bytes long, sha256 string").json(f"{folder}/manifest")
     return _one_task_each(manifest.select("name")).mapInArrow(_reader(folder), READ_BACK)
 

@@ -412,3 +412,17 @@ def test_plan_places_every_piece():
             for n in lengths:
                 used[n] += times
         assert used == have
+
+
+def test_archives_lie_in_the_file_system_that_spark_names(spark, tmp_path):
+    assert warc.qualified(spark, str(tmp_path)) == f"file:{tmp_path}" and warc.qualified(spark, f"file://{tmp_path}") in (f"file:{tmp_path}", f"file://{tmp_path}")
+    assert warc.store_address("s3a://bucket/a/b") == ("s3", "s3://bucket/a/b") and warc.store_address("hdfs://name:8020/a") == ("hdfs", "hdfs://name:8020/a")
+    assert warc.store_address("file:/a/b") == warc.store_address("file:///a/b") == ("file", "/a/b")
+    with pytest.raises(ValueError):
+        warc.store_address("/a/b")
+
+
+def test_token_ids_beyond_two_bytes_are_refused():
+    assert backoff._two_bytes(np.array([0, 65_535], "<u4")) == b"\0\0\xff\xff"
+    with pytest.raises(ValueError):
+        backoff._two_bytes(np.array([65_536], "<u4"))
