@@ -175,8 +175,8 @@ def fit_forest(df: DataFrame, target: str, features, trees: int = TREES, rows_pe
     features = tuple(features)
     inputs = [f"_x{i}" for i in range(len(features))]
     named = F.xxhash64(F.col(key)) if key else F.xxhash64(*[F.col(c) for c in (*features, target)])
-    rows = df.filter(_complete(df, (*features, target))).select(
-        named.alias("_id"), F.col(target).cast("double").alias("_y"), *[F.col(c).cast("double").alias(i) for c, i in zip(features, inputs)])
+    rows = cut_lineage(df.filter(_complete(df, (*features, target))).select(  # counted and drawn from: made once
+        named.alias("_id"), F.col(target).cast("double").alias("_y"), *[F.col(c).cast("double").alias(i) for c, i in zip(features, inputs)]))
     mean = min(1.0, rows_per_tree / max(rows.count(), 1))
 
     def grow(group: pa.Table) -> pa.Table:

@@ -32,12 +32,23 @@ def read_fact(spark: SparkSession, url: str, table: str, day: str, properties: d
         "buyer_broker", "seller_broker", "symbol", "total_volume", "total_amount", "trade_count")
 
 
+def within_bounds(stored: DataFrame, new: DataFrame, keys) -> DataFrame:
+    """Rows of ``stored`` whose keys lie between the smallest and the largest of ``new``: literals that a database can filter by."""
+    ends = new.agg(*[f(k).alias(f"{f.__name__}_{k}") for k in keys for f in (F.min, F.max)]).first()
+    for k in keys:
+        low, high = ends[f"min_{k}"], ends[f"max_{k}"]
+        if low is None:
+            return stored.limit(0)
+        stored = stored.filter(F.col(k).between(F.lit(low), F.lit(high)))
+    return stored
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, keys=None, properties: dict | None = None,
                batch_rows: int = BATCH_ROWS, connections: int = CONNECTIONS) -> None:
     """Append rows, at most ``connections`` at a time. With ``keys``, rows already stored are skipped, so a
-    repeated run does not break the primary key."""
+    repeated run does not break the primary key. Only stored keys between the smallest and largest new ones are read."""
     if keys:
-        stored = read_jdbc(df.sparkSession, url, table, properties).select(*keys)
+        stored = within_bounds(read_jdbc(df.sparkSession, url, table, properties).select(*keys), df, keys)
         df = df.join(stored, list(keys), "left_anti")
     options = jdbc_options(url, properties, dbtable=table, batchsize=batch_rows, numPartitions=connections)
     df.write.format("jdbc").mode("append").options(**options).save()

@@ -168,6 +168,16 @@ def test_jdbc_options():
     assert made == {"url": "jdbc:x", "user": "u", "dbtable": "t", "numPartitions": "4"}
 
 
+def test_stored_keys_are_read_within_bounds(spark, tmp_path):
+    spark.range(1000).selectExpr("id", "CAST(id % 10 AS STRING) AS k", "date_add(DATE '2026-01-01', CAST(id % 100 AS INT)) AS day").write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    new = stored.filter("id IN (205, 350, 299)").unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS id, CAST(NULL AS STRING) AS k, CAST(NULL AS DATE) AS day"))
+    found = jdbc.within_bounds(stored, new, ["id", "day"])
+    assert {r["id"] for r in found.collect()} == {i for i in range(205, 351) if 5 <= i % 100 <= 99}
+    assert "PushedFilters: [IsNotNull(id), IsNotNull(day), GreaterThanOrEqual(id,205), LessThanOrEqual(id,350)" in found._jdf.queryExecution().executedPlan().toString()
+    assert jdbc.within_bounds(stored, new.limit(0), ["id"]).count() == 0
+
+
 def land_trades(spark, root, day, trades, dated=None):
     """One document landed on ``day`` whose trades are (contract, quantity); ``dated`` is the date it states."""
     rows = [(c, "ABC", "1", "2", str(q), "10", "100.5", "11:00") for c, q in trades]
