@@ -67,13 +67,12 @@ def _hash(k: Column) -> Column:
 
 def anchors(text: Column) -> Column:
     """Array of (position, hash): the closed syncmers of a text, positions counted in pieces; all k-mers where none is one."""
-    def chosen(kmers: Column) -> Column:
-        placed = F.transform(kmers, lambda k, i: F.struct((i - (K - 1)).alias("position"), k.alias("k")))
-
-        def named(edge: Column) -> Column:
-            return F.transform(F.when(F.size(edge) > 0, edge).otherwise(placed), lambda x: F.struct(x["position"], _hash(x["k"]).alias("hash")))
+    def named(k: Column, i: Column) -> Column:
+        return F.struct((i - (K - 1)).alias("position"), _hash(k).alias("hash"))
 
-        return let(F.filter(placed, lambda x: _edge(x["k"])), named)
+    def chosen(kmers: Column) -> Column:
+        edge = F.array_compact(F.transform(kmers, lambda k, i: F.when(_edge(k), named(k, i))))
+        return let(edge, lambda found: F.when(F.size(found) > 0, found).otherwise(F.transform(kmers, named)))
 
     return let(_kmers(text), chosen)
 
@@ -142,7 +141,7 @@ def edited_pairs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     asked = next_ids(lengths, "key").join(lengths, "key").select(
         F.col("next").alias("key"), F.col("key").alias("before"), F.floor(F.col("n") / 4).cast("int").alias("need"))
     lent = rows.join(asked, "key").select("before", F.struct(
-        F.xxhash64("text").alias("order"), F.substring("text", F.lit(1), F.col("need")).alias("head"), links(anchors(F.col("text"))).alias("links")).alias("of"))
+        F.xxhash64("text").alias("order"), F.substring("text", F.lit(1), F.col("need")).alias("head"), let(anchors(F.col("text")), links).alias("links")).alias("of"))
     lent = lent.groupBy("before").agg(F.min("of").alias("of"))  # one row unless an id is repeated
     return (rows.join(lent, rows["key"] == lent["before"])
             .select("key", "text", F.col("of.head").alias("head"), F.col("of.links").alias("next_links")))
