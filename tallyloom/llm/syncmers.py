@@ -84,10 +84,11 @@ def sketch(found: Column) -> Column:
 
 def links(found: Column) -> Column:
     """Distinct hashes of each anchor with the next one and the distance to it; the last anchor has a link of its own."""
-    pairs = F.arrays_zip(found.alias("a"), _shifted(found, 1).alias("b"))
-    made = F.transform(pairs, lambda p: F.xxhash64(p["a"]["hash"], F.coalesce(p["b"]["hash"], F.lit(-1).cast("long")),
-                                                   F.coalesce(p["b"]["position"] - p["a"]["position"], F.lit(0))))
-    return F.array_distinct(F.transform(made, lambda h: F.shiftrightunsigned(h, 33).cast("int")))
+    def link(a: Column, b: Column) -> Column:
+        named = F.xxhash64(a["hash"], F.coalesce(b["hash"], F.lit(-1).cast("long")), F.coalesce(b["position"] - a["position"], F.lit(0)))
+        return F.shiftrightunsigned(named, 33).cast("int")
+
+    return F.array_distinct(F.zip_with(found, _shifted(found, 1), link))
 
 
 def marks(text: Column) -> Column:
