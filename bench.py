@@ -18,7 +18,7 @@ HEADLINE = (
     "a1_forex_roundtrip", "c2_append_if_absent", "c3_merge_upsert", "l2_refresh_fact", "k2_rules", "d6_impute",
     "i13_label_encode", "i7_balance", "h11_clean_text", "i5_tfidf", "i8_nb_model", "i9_nb_predict", "d12_class_report",
     "j6_articles", "j4_links", "i20_vocabulary", "i23_next_words", "i17_isolation_scores",
-    "i14_sales_forest", "i11_rf_text", "i12_linear_text", "i23_kneser_ney", "c5_claim_pages",
+    "i23_kneser_ney", "c5_claim_pages",
 )
 
 
