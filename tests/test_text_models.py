@@ -1,5 +1,6 @@
 """Text cleaning, term tables, classifiers, encoders and the skew helpers on small literal rows."""
 
+import re
 import math
 
 import numpy as np
@@ -353,6 +354,32 @@ def test_rows_per_tree_bound_the_rows_of_a_tree(spark):
     assert all(19_000 < r.n < 21_000 and 0.61 < r.rows / 20_000 < 0.65 for r in whole)
 
 
+def test_draws_unnest_only_trees_that_draw_a_row(spark):
+    rows = spark.range(500).select(F.xxhash64("id").alias("_id"))
+    for mean in (0.02, 1.0):
+        drawn = forest.drawn_rows(rows, 40, mean, 42)
+        every = rows.crossJoin(spark.range(40).select(F.col("id").cast("int").alias("_tree"))).withColumn(
+            "_times", forest._copies(mean, F.shiftrightunsigned(F.xxhash64("_id", "_tree", F.lit(42)), 32) / forest.HASH_RANGE)).filter("_times > 0")
+        assert drawn.count() == every.count() and drawn.exceptAll(every).count() == 0
+        assert "explode(filter(" in drawn._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_trees_are_sent_out_once_a_working_task_and_equal_rows_scored_once(spark, monkeypatch):
+    df = spark.range(900).select("id", (F.col("id") % 30).alias("a"), F.when(F.col("id") % 31 != 0, F.col("id") % 7).alias("b"), (F.col("id") % 30 * 2.0).alias("y"))
+    model = models.fit_sales(df, "y", ["a", "b"], trees=12, key="id")
+    whole = {r.id: r.prediction for r in models.score_sales(df, model).collect()}
+    assert len(whole) == 900 and all((p is None) == (i % 31 == 0) for i, p in whole.items())
+    monkeypatch.setattr(forest, "ROWS_PER_BLOCK", 1)
+    monkeypatch.setattr(forest, "NODES_PER_HOLDER", 200)  # several holders add up to the same sums
+    scored = models.score_sales(df, model)
+    assert {r.id: r.prediction for r in scored.collect()} == pytest.approx(whole)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "CoGroup" not in plan and plan.count("MapInArrow") == 1
+    nodes = sum(len(t.child) for t in model.table.collect())
+    (parts,) = re.findall(r"RepartitionByExpression \[.*\], (\d+)", plan) or re.findall(r"RepartitionById.*?(\d+)\s*$", plan, re.M) or [0]
+    assert 0 < int(parts) <= spark.sparkContext.defaultParallelism * -(-nodes // 200)
+
+
 def test_odd_sales_rows(spark):
     df = spark.createDataFrame([(1.0, 5.0), (2.0, None), (None, 3.0), (1.0, 5.0)], "x double, y double")
     model = models.fit_sales(df, "y", ["x"], trees=2, seed=1)
