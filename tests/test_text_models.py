@@ -437,6 +437,28 @@ def test_a_text_tree_equals_one_by_brute_force(seed):
     assert (got[np.arange(n), y] == 1.0).all() and full["depth"] > 3
 
 
+@pytest.mark.parametrize("copies", [False, True])
+def test_cuts_need_few_entries_of_large_nodes(copies):
+    rng = np.random.default_rng(5)
+    n, terms, nodes = 400, 5000, 7
+    doc, term = np.repeat(np.arange(n), 60), rng.integers(1, terms + 1, n * 60)
+    if copies:
+        term = np.tile(term[:60], n)
+    doc, term = np.array(sorted(set(zip(doc, term)))).T
+    value = np.full(len(doc), 0.5) if copies else np.round(rng.random(len(doc)), 1) + 0.1
+    order = np.lexsort((value, term))
+    doc, term, value = doc[order], term[order], value[order]
+    node, by_class = rng.integers(0, nodes, n), np.zeros((n, 2))
+    by_class[np.arange(n), rng.integers(0, 2, n)] = 1.0
+    totals, n_docs, open_ = np.zeros((nodes, 2)), np.bincount(node, minlength=nodes), np.arange(nodes) != 3
+    np.add.at(totals, node, by_class)
+    rate = 1 / math.sqrt(terms)
+    every, few = np.argsort(node[doc], kind="stable"), text_forest.needed(node[doc], term, value, n_docs, open_, 9, rate, 4)
+    whole, part = [text_forest.best_cuts(node[doc][o], term[o], value[o], by_class[doc[o]], totals, n_docs, 9, rate, 4) for o in (every, few)]
+    assert all((a[open_] == b[open_]).all() for a, b in zip(whole, part)) and (part[0][open_] >= 0).any() != copies
+    assert copies or len(few) < len(every) / 10
+
+
 def test_text_forest_draws():
     keys = np.arange(100_000, dtype=np.uint64)
     times = text_forest.bootstrap(keys, 3)
