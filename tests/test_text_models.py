@@ -27,6 +27,20 @@ def test_clean_text(spark, raw, cleaned):
     assert one(spark, raw, txt.clean_text(F.col("t")), F.expr("clean_text(t)")) == (cleaned, cleaned)
 
 
+def test_cleaner_looks_at_rare_characters_only(spark):
+    """All characters that are white space somewhere and their neighbours, against the spelled-out list of them."""
+    spelled = r"\t\n\x0B\f\r \x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+    points = [*range(0x100), *range(0x900, 0x980), *range(0x1670, 0x1690), *range(0x180A, 0x1812), *range(0x1FF0, 0x2070), *range(0x2FF0, 0x3010), 0xFEFF, 0x1F600]
+    text = "".join(f"a {chr(p)}b{chr(p) * 2}z9 {chr(p)}" for p in points)
+    for keep in (txt.DEVANAGARI, "a-zA-ZÀ-ÖØ-öø-ÿ", "é"):
+        basic, plain, squeezed, ranges = one(
+            spark, text, txt.clean_basic(F.col("t"), keep), F.regexp_replace("t", f"[^{keep}{spelled}]+", ""),
+            txt.squeeze_space(F.col("t")), F.trim(F.regexp_replace("t", f"[{spelled}]+", " ")))
+        assert basic == plain and squeezed == ranges
+    pattern = str(txt.clean_basic(F.col("t"), "a-zé"))
+    assert "(?=[^a-z ])" in pattern and "x{2000}" not in pattern  # the usual letter fails the first look
+
+
 def test_tokens_and_ngrams(spark):
     both = one(spark, "A सरकारको bb_1", txt.tokens(F.col("t")), txt.tokens(F.col("t"), "word"))
     assert both == (["सरक", "रक", "bb_1"], ["सरकारको", "bb_1"])
