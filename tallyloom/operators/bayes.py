@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.operators.tfidf import Tfidf, lookup_terms
+from tallyloom.session import write_staged
 
 ALPHA = 1.0
 
@@ -39,6 +40,7 @@ def fit_nb(weights: DataFrame, docs: DataFrame, classes, label: str = "label", a
     sums = weights.groupBy("term").agg(*[
         F.sum(F.when(F.col(label) == F.lit(c), F.col("weight")).otherwise(0.0)).alias(f"_s{i}")
         for i, c in enumerate(classes)])
+    sums = write_staged(sums)  # read for the mass and for the rows
     mass = sums.agg(F.struct(F.count(F.lit(1)).alias("terms"),
                              *[F.sum(f"_s{i}").alias(f"_s{i}") for i in range(len(classes))]).alias("_mass"))
     total = mass.scalar()
