@@ -65,7 +65,9 @@ def ragged_sequences(encoded: DataFrame, keys, ids: str = "ids") -> DataFrame:
     written grows with the words; a long line changes nothing in the rows of the others.
     """
     lines = encoded.filter(F.size(ids) >= 2).select(*keys, F.col(ids).alias("ids"), (F.size(ids) - 1).cast("long").alias("n_prefixes"))
-    return cut_lineage(running_total(lines, keys, "n_prefixes", "first"))
+    parts = int(encoded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A fixed number of partitions: lines are few bytes, but their beginnings are many rows, so they must stay spread out.
+    return cut_lineage(running_total(lines, keys, "n_prefixes", "first").repartition(parts, *keys))
 
 
 def prefix_views(ragged: DataFrame, keys, start: int = 0, stop: int | None = None) -> DataFrame:
