@@ -14,6 +14,7 @@ from tallyloom.operators import alerts, bayes, encode, frames, gold, impute, iso
 from tallyloom.operators import pages as pg
 from tallyloom.operators import profile, quality, sampling, sequences, silver, text_forest, tfidf
 from tallyloom.plans import fixtures as fx
+from tallyloom.session import write_staged
 from tallyloom.sources.files import read_labelled
 from tallyloom.sources.tables import register_views
 
@@ -154,8 +155,9 @@ def l2_refresh_fact(spark, d):
 
 
 def l4_first_run(spark, d):
-    empty = fx.fact(spark, d).filter(F.col("total_volume") < 0)
-    return gold.refresh_fact(gold.stage_trades(fx.silver_trades(spark, d)), empty)
+    # The matrix, its last day and the new rows all come from the trades: they are made once.
+    staged = write_staged(gold.stage_trades(fx.silver_trades(spark, d)))
+    return gold.refresh_fact(staged, gold.daily_broker_summary(staged).filter(F.col("total_volume") < 0))
 
 
 def i18_alerts(spark, d):
