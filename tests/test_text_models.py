@@ -501,6 +501,43 @@ def test_text_forest_does_not_depend_on_partitions_or_blocks(spark, monkeypatch,
     assert {r.prediction for r in text_forest.score_text_forest(empty, docs).collect()} == {None}
 
 
+def test_every_text_tree_draws_from_all_documents(spark):
+    """Each document has a word of its own: the trees of a group know the words of all that they drew, not of a sample of them."""
+    docs = spark.range(240).select(F.col("id").alias("doc_id"), F.concat(F.lit("same w"), "id").alias("text"),
+                                   F.when(F.col("id") % 2 == 0, "Fake").otherwise("Real").alias("label"))
+    model = text_forest.fit_text_forest(docs, trees=12, ngram=(1, 1), docs_per_group=20)
+    whole = text_forest.fit_text_forest(docs.repartition(5), trees=12, ngram=(1, 1))
+    assert model.table.exceptAll(whole.table).count() == 0 == whole.table.exceptAll(model.table).count()
+    leaves = [sum(t < 0 for t in r.term) for r in model.table.collect()]
+    assert len(leaves) == 12 and min(leaves) > 40  # about 152 documents of 240, half of them of the rarer class
+
+
+def test_draws_of_terms_skip_to_the_next_one():
+    nodes, last, rate = np.arange(300), 20_000, 0.01
+    places, terms = text_forest.drawn_terms(nodes, last, rate, 7)
+    assert (np.diff(places) >= 0).all() and (np.diff(terms)[np.diff(places) == 0] > 0).all() and terms.min() >= 0 and terms.max() <= last
+    each = np.bincount(places, minlength=300)
+    assert abs(each.mean() - 200) < 4 and 10 < each.std() < 18
+    assert abs((terms < 5000).mean() - 0.25) < 0.01 and len(np.unique(terms)) > 18_000
+    again, only = text_forest.drawn_terms(nodes[7:8], last, rate, 7)
+    assert (only == terms[places == 7]).all() and (again == 0).all()  # whichever nodes are asked together
+    assert text_forest.drawn_terms(nodes[:2], 3, 1.0, 7)[1].tolist() == [0, 1, 2, 3] * 2
+
+
+def test_postings_list_entries_by_term_and_value(monkeypatch):
+    rng = np.random.default_rng(2)
+    sizes = rng.integers(0, 9, 50)
+    terms = np.concatenate([np.sort(rng.choice(30, n, replace=False)) for n in sizes]).astype(np.int32)
+    values = rng.integers(1, 5, len(terms)) / 8
+    for at_once in (1, 7, 1 << 22):
+        monkeypatch.setattr(text_forest, "ENTRIES_AT_ONCE", at_once)
+        held = text_forest.Postings(np.append(0, np.cumsum(sizes)), terms, values)
+        assert sorted(held.place) == list(range(len(terms))) and (held.doc == np.repeat(np.arange(50), sizes)[held.place]).all()
+        for t in range(held.last + 1):
+            part = held.place[held.first[t]:held.first[t + 1]]
+            assert (terms[part] == t).all() and (np.diff(values[part]) >= 0).all() and len(part) == (terms == t).sum()
+
+
 def test_many_more_terms_than_documents(spark):
     """A hundred times as many terms as documents."""
     docs = spark.range(0, 3000, 1, 8).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.transform(
