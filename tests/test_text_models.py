@@ -110,6 +110,21 @@ def test_tfidf(spark):
     assert {r.term for r in weights_of(spark, max_features=2)[1].terms.collect()} == {"aa", "bb"}
 
 
+def test_runs_that_cannot_be_frequent_are_not_counted(spark):
+    """With ties at the end of the list, repeated keys and fewer words than asked for: the same most frequent terms and the same counts of them."""
+    rng = np.random.default_rng(3)
+    rows = [(i % 70, " ".join(f"w{j:02d}" for j in np.minimum(rng.zipf(1.3, 40), 60))) for i in range(80)] + [(900, ""), (901, None), (None, "w01 w02")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("words", txt.tokens(F.coalesce("text", F.lit(""))))
+    every = tfidf.term_counts(docs, "doc_id", "words", lo=1, hi=3).checkpoint()
+    for k in (5, 12, 5000):
+        few = tfidf.term_counts(docs, "doc_id", "words", lo=1, hi=3, most=k).checkpoint()
+        whole, part = [tfidf.top_terms(tfidf.term_stats(c), k) for c in (every, few)]
+        assert [tuple(r) for r in whole.collect()] == [tuple(r) for r in part.collect()]
+        kept = [c.join(whole.select("term"), "term").select("doc_id", "term", "tf") for c in (every, few)]
+        assert kept[0].exceptAll(kept[1]).count() == kept[1].exceptAll(kept[0]).count() == 0
+        assert few.exceptAll(every).count() == 0 and (few.count() == every.count() if k == 5000 else few.count() < every.count() / 2)
+
+
 def test_hot_terms_are_split_without_changing_weights(spark):
     rounded = lambda df: df.withColumn("weight", F.round("weight", 12))
     plain, split = rounded(weights_of(spark)[2]), rounded(weights_of(spark, rows_per_task=1)[2])
