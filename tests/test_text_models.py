@@ -387,11 +387,13 @@ def test_rows_per_tree_bound_the_rows_of_a_tree(spark):
 def test_every_sales_tree_draws_from_all_rows(spark):
     """More rows than a tree ever drew from before (262,144): each takes about 0.632 of them and knows as many values."""
     df = spark.range(0, 300_000, 1, 8).select("id", F.col("id").cast("double").alias("x"), (F.col("id") % 2).cast("double").alias("y"))
-    (tree,) = models.fit_sales(df, "y", ["x"], trees=1, key="id", max_depth=1).table.collect()
-    assert len(tree.feature) == 3
-    drawn = forest.drawn_rows(df.select(F.xxhash64("id").alias("_id"), "x", "y"), 1, 1.0, forest.SEED).toPandas()
-    weight = drawn["_times"].astype(float)
-    assert 0.63 < len(drawn) / 300_000 < 0.634 and tree.value[0] == pytest.approx((weight * drawn["y"]).sum() / weight.sum(), rel=1e-12)
+    trees = models.fit_sales(df, "y", ["x"], trees=2, key="id", max_depth=1).table.orderBy("tree").collect()
+    every = forest.drawn_rows(df.select(F.xxhash64("id").alias("_id"), "x", "y"), 2, 1.0, forest.SEED).toPandas()
+    assert [(t.tree, len(t.feature)) for t in trees] == [(0, 3), (1, 3)]
+    for t in trees:
+        drawn = every[every["_tree"] == t.tree]
+        weight = drawn["_times"].astype(float)
+        assert 0.63 < len(drawn) / 300_000 < 0.634 and t.value[0] == pytest.approx((weight * drawn["y"]).sum() / weight.sum(), rel=1e-12)
 
 
 def test_draws_unnest_only_trees_that_draw_a_row(spark):
